@@ -1,12 +1,30 @@
-"""Exact sums: DECIMAL accumulation, so results do not depend on partitioning or task order."""
+"""Exact sums: integers and DECIMAL only, so results do not depend on task order or partitioning."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRICE_TYPE = "decimal(16,6)"  # one nightly price
 AMOUNT_TYPE = "decimal(18,2)"  # one customer's total, already in whole cents
+_TOTAL_TYPE = "decimal(20,0)"
+
+
+def price_parts(price: Column) -> tuple[Column, Column]:
+    """A DOUBLE price as (whole units, millionths), two BIGINTs.
+
+    Two BIGINT sums cost half of one DECIMAL sum in the per-row path, and neither can overflow:
+    millionths stay below 10^6 each, so a single group may hold 9 * 10^12 stays.
+    """
+    whole = F.floor(price)
+    return whole, F.round((price - whole) * 1e6).cast("bigint")
+
+
+def amount(whole: Column, millionths: Column, times: int = 1) -> Column:
+    """``times`` the money in summed :func:`price_parts`, in whole cents, as DOUBLE."""
+    exact = whole.cast(_TOTAL_TYPE) + millionths.cast(_TOTAL_TYPE) * F.lit(Decimal("0.000001"))
+    return F.round(exact * times, 2).cast("double")
 
 
 def exact_sum(amount: Column) -> Column:

@@ -36,14 +36,29 @@ def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
     """One row per group: ``by...`` and one DOUBLE column per entry of ``quantiles``."""
-    counts = value_counts(df, by, value).withColumn("bucket", _bucket(F.col("value")))
+    return quantiles_of_counts(value_counts(df, by, value), by, quantiles)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, by: Sequence[str], quantiles: Mapping[str, float]
+) -> DataFrame:
+    """:func:`exact_quantiles` of a table made by :func:`value_counts`.
+
+    ``counts`` is read twice, to fill the buckets and to order the wanted ones; Spark reuses its
+    shuffle for both.
+    """
+    counts = counts.withColumn("bucket", _bucket(F.col("value")))
     in_order = Window.partitionBy(*by).orderBy("bucket")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # Counts per bucket are few (see BUCKETS_PER_E), whatever the number of rows.
     located = (
         counts.groupBy(*by, "bucket")
         .agg(F.sum("n").alias("in_bucket"))
-        .withColumn("total", F.sum("in_bucket").over(Window.partitionBy(*by)))
-        .withColumn("before", F.sum("in_bucket").over(in_order) - F.col("in_bucket"))
+        .select(
+            "*",
+            F.sum("in_bucket").over(whole).alias("total"),
+            (F.sum("in_bucket").over(in_order) - F.col("in_bucket")).alias("before"),
+        )
     )
     ranks = {name: _ranks(p) for name, p in quantiles.items()}
     bounds = [rank for low, high, _ in ranks.values() for rank in (low, high)]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from stayvalue.functions.money import PRICE_TYPE
+from stayvalue.functions.money import amount, price_parts
 
 REFERENCE_DATE = "2025-09-12"
 NIGHTS_PER_BOOKING = 3
@@ -19,13 +19,24 @@ def _per_reviewer_and_area(stays: DataFrame) -> DataFrame:
     Hash aggregation with fixed-width buffers, so map tasks combine before the shuffle and a
     reviewer holding a third of all stays arrives as one row per area and task.
     """
+    whole, millionths = price_parts(F.col("price_cleaned"))
     return stays.groupBy("reviewer_id", "neighbourhood").agg(
         F.max("date").alias("last_date"),
         F.count("*").alias("stays"),
-        F.sum(F.col("price_cleaned").cast(PRICE_TYPE)).alias("nightly"),
+        F.sum(whole).alias("whole"),
+        F.sum(millionths).alias("millionths"),
     )
 
 
+def _by_reviewer(per_area: DataFrame) -> GroupedData:
+    """Second level: the areas of a reviewer together.
+
+    No more rows per reviewer than there are areas, so combining before this shuffle would
+    only add a sort; an explicit repartition leaves it out.
+    """
+    return per_area.repartition("reviewer_id").groupBy("reviewer_id")
+
+
 def _best_area() -> Column:
     """Struct (minus stays, area) of the area with the most stays; of equals, the smallest name."""
     return F.min(F.struct((-F.col("stays")).alias("rank"), F.col("neighbourhood").alias("area")))
@@ -38,18 +49,17 @@ def rfm_metrics(
 ) -> DataFrame:
     """``reviewer_id, recency, frequency, monetary, favourite_neighbourhood``.
 
-    Recency is in days and never negative. Money is added up in DECIMAL and given in whole
-    cents, so the result is the same for any partitioning. A NULL reviewer is one group.
+    Recency is in days and never negative. Money is added up exactly and given in whole cents,
+    so the result is the same for any partitioning. A NULL reviewer is one group.
     """
     as_of = F.lit(reference_date).cast("date")
-    nightly = F.sum("nightly")
+    money = amount(F.sum("whole"), F.sum("millionths"), nights_per_booking)
     return (
-        _per_reviewer_and_area(stays)
-        .groupBy("reviewer_id")
+        _by_reviewer(_per_reviewer_and_area(stays))
         .agg(
             F.greatest(F.lit(0), F.datediff(as_of, F.max("last_date"))).alias("recency"),
             F.sum("stays").alias("frequency"),
-            F.round(nightly * nights_per_booking, 2).cast("double").alias("monetary"),
+            money.alias("monetary"),
             _best_area()["area"].alias("favourite_neighbourhood"),
         )
     )
@@ -59,7 +69,7 @@ def favourite_area(stays: DataFrame) -> DataFrame:
     """``reviewer_id, favourite_neighbourhood, stays_there`` (most frequent, then by name)."""
     per_area = stays.groupBy("reviewer_id", "neighbourhood").agg(F.count("*").alias("stays"))
     return (
-        per_area.groupBy("reviewer_id")
+        _by_reviewer(per_area)
         .agg(_best_area().alias("best"))
         .select(
             "reviewer_id",

@@ -59,12 +59,14 @@ def run_alerts(
         alert(
             seconds > slow_seconds,
             "SLOW",
-            F.format_string(f"took %.0f s, limit {slow_seconds:.0f} s", seconds),
+            F.format_string(
+                f"took %d s, limit {slow_seconds:.0f} s", F.round(seconds).cast("bigint")
+            ),
         ),
         alert(
             has_rows & (pct > max_filtered_pct),
             "HIGH FILTER RATE",
-            F.format_string("%.1f%% rows filtered", pct),
+            F.format_string("%.1f%% rows filtered", F.round(pct, 1)),
         ),
         alert(
             ~F.col("data_quality_passed"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayvalue.functions.money import AMOUNT_TYPE, exact_avg, exact_sum, share_pct
-from stayvalue.operators.quantiles import exact_quantiles
+from stayvalue.operators.quantiles import quantiles_of_counts, value_counts
 
 
 class SegmentRule(NamedTuple):
@@ -135,17 +135,22 @@ def revenue_share(customers: DataFrame) -> DataFrame:
 
 
 def value_spread(customers: DataFrame) -> DataFrame:
-    """Minimum, quartiles, maximum and mean of ``monetary`` per segment, by median."""
-    quartiles = exact_quantiles(
-        customers, ["segment"], "monetary", {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    """Minimum, quartiles, maximum and mean of ``monetary`` per segment, by median.
+
+    Everything comes from the counts of equal values, so the customers are read once.
+    """
+    counts = value_counts(customers, ["segment"], "monetary")
+    total = F.sum(F.col("value").cast(AMOUNT_TYPE) * F.col("n"))
+    ends = counts.groupBy("segment").agg(
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+        (total.cast("double") / F.sum("n")).alias("mean_value"),
     )
-    ends = customers.groupBy("segment").agg(
-        F.min("monetary").alias("min_value"),
-        F.max("monetary").alias("max_value"),
-        exact_avg(F.col("monetary")).alias("mean_value"),
+    quartiles = quantiles_of_counts(
+        counts, ["segment"], {"q1": 0.25, "median": 0.5, "q3": 0.75}
     )
     return (
-        ends.join(quartiles, "segment", "left")
+        ends.join(quartiles, "segment")
         .select(
             "segment",
             "min_value",
@@ -155,7 +160,7 @@ def value_spread(customers: DataFrame) -> DataFrame:
             "max_value",
             "mean_value",
         )
-        .orderBy(F.desc_nulls_last("median"), "segment")
+        .orderBy(F.desc("median"), "segment")
     )
 
 

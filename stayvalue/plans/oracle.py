@@ -540,11 +540,12 @@ FROM runs""",
         _TO_RUNS,
         """
 SELECT run_id, 'SLOW' AS alert,
-       printf('took %.0f s, limit 400 s', CAST(total_duration_seconds AS DOUBLE)) AS detail
+       'took ' || CAST(round(CAST(total_duration_seconds AS DOUBLE)) AS BIGINT)
+         || ' s, limit 400 s' AS detail
 FROM runs WHERE total_duration_seconds > 400
 UNION ALL
 SELECT run_id, 'HIGH FILTER RATE',
-       printf('%.1f%% rows filtered', CAST(rows_filtered * 100.0 / input_total AS DOUBLE))
+       printf('%.1f%% rows filtered', round(CAST(rows_filtered * 100.0 / input_total AS DOUBLE), 1))
 FROM runs WHERE output_rows > 0 AND rows_filtered * 100.0 / input_total > 11.85
 UNION ALL
 SELECT run_id, 'DATA QUALITY', data_quality_errors || ' errors'
