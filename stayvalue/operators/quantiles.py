@@ -24,7 +24,11 @@ def _bucket(value: Column) -> Column:
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """``by..., value, n``: how often each non-NULL value occurs in each group."""
+    """``by..., value, n``: how often each non-NULL value occurs in each group.
+
+    The group columns must not themselves be called ``value``, ``n``, ``bucket``, ``total`` or
+    ``before``.
+    """
     return (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("value"))

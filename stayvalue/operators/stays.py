@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def estimated_size(df: DataFrame) -> int:
     """Catalyst's size estimate in bytes for the optimised plan of ``df``."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_within(df: DataFrame, max_bytes: int) -> DataFrame:

@@ -1,0 +1,138 @@
+import collections
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from stayvalue.operators.rfm import favourite_area, rfm_metrics
+from stayvalue.operators.stays import estimated_size, join_stays
+
+STAYS = "listing_id string, reviewer_id long, date date, price_cleaned double, neighbourhood string"
+DAY = dt.date(2023, 1, 1)
+
+
+def stays(spark, rows):
+    return spark.createDataFrame(rows, STAYS)
+
+
+def by_id(df):
+    return {r["reviewer_id"]: r for r in df.collect()}
+
+
+def test_metrics_of_one_reviewer(spark):
+    df = stays(
+        spark,
+        [
+            ("1", 7, dt.date(2023, 1, 1), 100.0, "A"),
+            ("2", 7, dt.date(2023, 3, 1), 33.33, "B"),
+            ("3", 7, dt.date(2023, 2, 1), 10.1, "B"),
+        ],
+    )
+    row = rfm_metrics(df, "2023-03-11", 2).first()
+    assert (row["recency"], row["frequency"], row["monetary"]) == (10, 3, 286.86)
+    assert row["favourite_neighbourhood"] == "B"
+
+
+def test_ties_future_dates_and_missing_reviewers(spark):
+    df = stays(
+        spark,
+        [
+            ("1", 1, DAY, 50.0, "b"),
+            ("2", 1, DAY, 50.0, "B"),
+            ("3", 2, dt.date(2030, 1, 1), 50.0, "A"),
+            ("4", None, DAY, 50.0, "A"),
+            ("5", None, DAY, 60.0, "A"),
+        ],
+    )
+    out = by_id(rfm_metrics(df, "2023-01-31", 3))
+    assert out[1]["favourite_neighbourhood"] == "B"  # binary order
+    assert out[2]["recency"] == 0
+    assert (out[None]["frequency"], out[None]["monetary"]) == (2, 330.0)
+
+
+def test_join_drops_null_keys_and_multiplies_repeated_listings(spark):
+    reviews = spark.createDataFrame(
+        [("1", 7, DAY), ("1", 8, DAY), ("9", 7, DAY), (None, 7, DAY)],
+        "listing_id string, reviewer_id long, date date",
+    )
+    listings = spark.createDataFrame(
+        [("1", 50.0, "A"), ("1", 70.0, "B"), (None, 10.0, "C")],
+        "listing_id string, price_cleaned double, neighbourhood string",
+    )
+    assert join_stays(reviews, listings).count() == 4
+
+
+def test_broadcast_only_within_the_checked_size(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    conf(spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    reviews = spark.createDataFrame([("1", 7)], "listing_id string, reviewer_id long")
+    listings = spark.createDataFrame([("1", 5.0)], "listing_id string, price_cleaned double")
+    size = estimated_size(listings)
+
+    def plan(limit):
+        joined = join_stays(reviews, listings, limit)
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(size)
+    assert "SortMergeJoin" in plan(size - 1)
+    assert "SortMergeJoin" in plan(None)
+
+
+def brute_force(rows, reference, nights):
+    groups = collections.defaultdict(list)
+    for _, reviewer, date, price, area in rows:
+        groups[reviewer].append((date, price, area))
+    out = {}
+    for reviewer, visits in groups.items():
+        counts = collections.Counter(area for _, _, area in visits)
+        best = min(counts, key=lambda a: (-counts[a], a))
+        cents = sum(round(price * 100) for _, price, _ in visits) * nights
+        recency = max(0, (reference - max(d for d, _, _ in visits)).days)
+        out[reviewer] = (recency, len(visits), cents / 100, best)
+    return out
+
+
+def hot_rows(n=6000):
+    """One reviewer and one listing hold a third of all stays each."""
+    rng = random.Random(11)
+    rows = []
+    for _ in range(n):
+        reviewer = 7 if rng.random() < 0.34 else rng.randrange(10, 400)
+        listing = 1 if rng.random() < 0.34 else rng.randrange(2, 300)
+        date = dt.date(2020, 1, 1) + dt.timedelta(days=rng.randrange(1000))
+        price = round(10 + (listing * 37 % 9000) / 7, 2)
+        rows.append((str(listing), reviewer, date, price, f"area {listing % 23}"))
+    return rows
+
+
+def test_hot_keys_against_brute_force(spark):
+    rows = hot_rows()
+    reference = dt.date(2022, 6, 1)
+    expected = brute_force(rows, reference, 3)
+    actual = {
+        r["reviewer_id"]: (
+            r["recency"], r["frequency"], r["monetary"], r["favourite_neighbourhood"]
+        )
+        for r in rfm_metrics(stays(spark, rows), reference, 3).collect()
+    }
+    assert actual == expected
+    favourites = {r[0]: r[1] for r in favourite_area(stays(spark, rows)).collect()}
+    assert favourites == {k: v[3] for k, v in expected.items()}
+
+
+def test_money_is_exact_for_awkward_prices(spark):
+    rows = [("1", 1, DAY, 0.1, "A")] * 1000 + [("1", 2, DAY, 10000.0, "A")] * 7
+    rows += [("1", 3, DAY, 12.345, "A")] * 3 + [("1", 4, DAY, 33.333333, "A")] * 3
+    out = {k: r["monetary"] for k, r in by_id(rfm_metrics(stays(spark, rows))).items()}
+    assert out == {1: 300.0, 2: 210000.0, 3: 111.11, 4: 300.0}
+
+
+def test_result_does_not_depend_on_partitioning(spark, conf):
+    df = stays(spark, hot_rows(3000))
+
+    def fingerprint(partitions):
+        conf(spark__sql__shuffle__partitions=str(partitions))
+        out = rfm_metrics(df.repartition(partitions), "2022-06-01")
+        return out.agg(F.sum(F.xxhash64(*out.columns).cast("decimal(20,0)"))).first()[0]
+
+    assert len({fingerprint(p) for p in (1, 8, 200)}) == 1

@@ -1,0 +1,125 @@
+import pytest
+
+from stayvalue.operators import areas, customers, segments
+
+RFM = "reviewer_id long, recency int, frequency long, monetary double, favourite_neighbourhood string"
+
+
+@pytest.mark.parametrize(
+    "recency, frequency, monetary, expected",
+    [
+        (90, 5, 500.0, "Champions"),
+        (91, 5, 500.0, "Loyal"),
+        (90, 4, 500.0, "Loyal"),
+        (90, 5, 499.99, "Loyal"),
+        (180, 3, 300.0, "Loyal"),
+        (181, 3, 300.0, "Potential"),
+        (365, 1, 50.0, "Potential"),
+        (366, 2, 100.0, "At Risk"),
+        (365, 1, 49.99, "Hibernating"),
+        (400, 1, 1000.0, "Hibernating"),
+        (730, 2, 100.0, "At Risk"),
+        (731, 2, 100.0, "Hibernating"),
+        (1000, 1, 10.0, "Hibernating"),
+        (1001, 9, 9999.0, "Lost"),
+        (0, 1, 9.99, "Lost"),
+        (None, 9, 9999.0, "Lost"),
+        (0, None, 9999.0, "Lost"),
+        (0, 9, None, "Lost"),
+    ],
+)
+def test_rules(spark, recency, frequency, monetary, expected):
+    df = spark.createDataFrame([(1, recency, frequency, monetary, "A")], RFM)
+    assert segments.segment_customers(df).first()["segment"] == expected
+
+
+def test_own_rules(spark):
+    rules = [segments.SegmentRule("New", 30, 0, 0.0)]
+    df = spark.createDataFrame([(1, 30, 1, 1.0, "A"), (2, 31, 1, 1.0, "A")], RFM)
+    out = segments.segment_customers(df, rules, "Old").orderBy("reviewer_id").collect()
+    assert [r["segment"] for r in out] == ["New", "Old"]
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    data = [
+        (1, 10, 5, 600.0, "BÃ©arn", "Champions"),
+        (2, 20, 6, 900.0, "Anglet", "Champions"),
+        (3, 400, 2, 200.0, "Anglet", "At Risk"),
+        (4, 400, 2, 100.5, "Anglet", "At Risk"),
+        (None, 2000, 1, 20.0, "Bayonne", "Lost"),
+        (6, 900, 1, 900.0, "Bayonne", "Hibernating"),
+    ]
+    return spark.createDataFrame(data, RFM + ", segment string")
+
+
+def test_counts_and_order(table):
+    assert [tuple(r) for r in segments.segment_counts(table).collect()] == [
+        ("At Risk", 2), ("Champions", 2), ("Hibernating", 1), ("Lost", 1),
+    ]
+    present = segments.segments_present(table).collect()
+    assert [r["segment"] for r in present] == ["At Risk", "Champions", "Hibernating", "Lost"]
+    assert [r["position"] for r in present] == [1, 2, 3, 4]
+
+
+def test_summary_counts_ids_but_not_null_ids(table):
+    out = {r["segment"]: r for r in segments.segment_summary(table).collect()}
+    assert out["Lost"]["customers"] == 0 and out["Lost"]["total_revenue"] == 20.0
+    assert out["Champions"]["customers"] == 2
+    assert (out["Champions"]["avg_ltv"], out["Champions"]["avg_frequency"]) == (750.0, 5.5)
+    assert out["At Risk"]["pct_of_total"] == 40.0
+    assert [r["segment"] for r in segments.segment_summary(table).collect()][0] == "Champions"
+
+
+def test_revenue_share_and_spread(table):
+    share = {r["segment"]: r["revenue_pct"] for r in segments.revenue_share(table).collect()}
+    assert sum(share.values()) == pytest.approx(100, abs=0.001)
+    spread = {r["segment"]: tuple(r) for r in segments.value_spread(table).collect()}
+    assert spread["Champions"][1:] == (600.0, 675.0, 750.0, 825.0, 900.0, 750.0)
+    assert spread["Lost"][1:] == (20.0,) * 6
+
+
+def test_areas(table):
+    top = [tuple(r) for r in areas.area_metrics(table, 2).collect()]
+    assert top == [("Anglet", 1200.5, 1200.5 / 3, 3), ("Bayonne", 920.0, 460.0, 2)]
+    shown = areas.top_areas(table).collect()
+    assert shown[2]["favourite_neighbourhood"] == "Béarn"
+
+
+def test_kpis(spark, table):
+    row = customers.kpis(table).first()
+    assert tuple(row) == (6, 2720.5, 2720.5 / 6, 2, 33.3333)
+    empty = customers.kpis(table.limit(0)).first()
+    assert tuple(empty) == (0, 0.0, None, 0, 0.0)
+
+
+def test_priority_customers(table):
+    best = customers.priority_customers(table, 3).collect()
+    assert [r["reviewer_id"] for r in best] == [2, 1, 3]
+    assert best[1]["favourite_neighbourhood"] == "Béarn"
+    only = customers.priority_customers(table, segments=["At Risk", "Lost"]).collect()
+    assert {r["segment"] for r in only} == {"At Risk"}
+    assert customers.high_value_customers(table).count() == 4
+
+
+def test_sample_is_exact_and_repeatable(spark):
+    df = spark.range(1000).withColumnRenamed("id", "reviewer_id")
+    first = {r[0] for r in customers.customer_sample(df, 100).collect()}
+    again = {r[0] for r in customers.customer_sample(df.repartition(7), 100).collect()}
+    other = {r[0] for r in customers.customer_sample(df, 100, seed=1).collect()}
+    assert len(first) == 100 and first == again and first != other
+    assert customers.customer_sample(df, 5000).count() == 1000
+
+
+def test_quintiles_never_split_equal_values(spark):
+    data = [(i, i % 50, 1 if i % 3 else i, float(i), "A", "Lost") for i in range(300)]
+    df = spark.createDataFrame(data, RFM + ", segment string")
+    scores = customers.rfm_quintiles(df).join(df, "reviewer_id")
+    for score, value in (("r_score", "recency"), ("f_score", "frequency")):
+        assert scores.groupBy(value).agg({score: "max", "*": "count"}).count() == (
+            scores.select(value, score).distinct().count()
+        )
+    sizes = scores.groupBy("m_score").count().collect()
+    assert {r["m_score"]: r["count"] for r in sizes} == dict.fromkeys(range(1, 6), 60)
+    newest = scores.filter("recency = 0").first()
+    assert newest["r_score"] == 5 and len(newest["rfm_score"]) == 3
