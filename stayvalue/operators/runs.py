@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 SLOW_SECONDS = 300.0
 MAX_FILTERED_PCT = 20.0
-STATUSES = ("RUNNING", "SUCCESS", "PARTIAL", "FAILED")
 
 RUN_SCHEMA = T.StructType(
     [
