@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: what a date must start with to be considered at all.
+# What is not part of a price, and what a date must start with to be considered.
+NOT_IN_PRICE = r"[^0-9.]"
 DATE_PREFIX = r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}"
 
 
 def price_digits(price: Column) -> Column:
     """The digits and dots of a price text (``$1,200.50`` -> ``1200.50``)."""
-    return F.regexp_replace(price.cast("string"), r"[^0-9.]", "")
+    return F.regexp_replace(price.cast("string"), NOT_IN_PRICE, "")
 
 
 def parse_price(price: Column) -> Column:

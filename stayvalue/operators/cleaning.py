@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayvalue.functions.parsing import parse_price, parse_review_date, price_digits
 
+# The accepted nightly prices, the names that mean no area, what makes a review unique.
 MIN_PRICE = 10.0
 MAX_PRICE = 10000.0
 UNKNOWN_AREAS = ("", "Unknown")
@@ -91,16 +92,25 @@ def _audit_rows(table: str, steps: list[tuple[str, str, str]]) -> Column:
     )
 
 
-def reviews_audit(reviews: DataFrame) -> DataFrame:
-    """Rows before, after and removed per review cleaning step, from one pass.
+def unique_reviews(reviews: DataFrame) -> DataFrame:
+    """Deduplicated reviews with ``date`` parsed (NULL if impossible) and their ``copies``.
 
-    The copies of a review are counted where the deduplication groups them anyway.
+    What :func:`clean_reviews` keeps are the rows with a date; the others and the copies are what
+    :func:`unique_reviews_audit` counts, so one shuffle serves cleaning and audit.
     """
-    distinct = reviews.groupBy(*REVIEW_KEY).agg(F.count("*").alias("copies"))
-    totals = distinct.agg(
+    return (
+        reviews.groupBy(*REVIEW_KEY)
+        .agg(F.count("*").alias("copies"))
+        .withColumn("date", parse_review_date(F.col("date")))
+    )
+
+
+def unique_reviews_audit(unique: DataFrame) -> DataFrame:
+    """Rows before, after and removed per review cleaning step, from :func:`unique_reviews`."""
+    totals = unique.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("raw"),
         F.count("*").alias("unique"),
-        F.count(parse_review_date(F.col("date"))).alias("dated"),
+        F.count("date").alias("dated"),
     )
     steps = [("duplicates", "raw", "unique"), ("dates", "unique", "dated")]
     return totals.select(F.inline(_audit_rows("reviews", steps)))
@@ -123,4 +133,4 @@ def listings_audit(
 
 def cleaning_audit(reviews: DataFrame, listings: DataFrame) -> DataFrame:
     """Both audits: ``table_name, step_no, step, rows_before, rows_after, rows_removed``."""
-    return reviews_audit(reviews).unionByName(listings_audit(listings))
+    return unique_reviews_audit(unique_reviews(reviews)).unionByName(listings_audit(listings))

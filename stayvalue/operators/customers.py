@@ -11,7 +11,7 @@ from stayvalue.functions.money import exact_avg, exact_sum, share_pct
 from stayvalue.functions.text import repair_text
 from stayvalue.operators.quantiles import exact_quantiles
 
-# Fixed value: the segments worth contacting one by one.
+# The segments worth contacting one by one, and the size and seed of a sample.
 PRIORITY_SEGMENTS = ("Champions", "At Risk", "Loyal", "Potential")
 SAMPLE_SIZE = 5000
 SAMPLE_SEED = 42

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayvalue.functions.money import amount, price_parts
 
+# The day recency counts back from, and the assumed length of a stay.
 REFERENCE_DATE = "2025-09-12"
 NIGHTS_PER_BOOKING = 3
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Limits beyond which a run raises an alert.
 SLOW_SECONDS = 300.0
 MAX_FILTERED_PCT = 20.0
 

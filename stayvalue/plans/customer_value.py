@@ -10,7 +10,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayvalue.functions.parsing import parse_review_date
 from stayvalue.operators import areas, cleaning, quality, rfm, runs, segments, stays
 from stayvalue.sources.writers import write_table
 
@@ -77,11 +76,11 @@ def run(
 ) -> DataFrame:
     """Perform the analysis, write its tables under ``output_dir`` and return the run's row.
 
-    Tables: ``reviews`` (deduplicated), ``listings``, ``customers``, ``areas``; the run itself is
-    appended to ``run_metrics``. Every step starts from a written table, so a lost executor costs
-    tasks, not the whole lineage, and the one expensive shuffle (deduplication) happens once.
-    Counts are taken from the written tables: unlike accumulators they do not drift when a
-    stage is repeated. A failed run is recorded too, and its exception raised.
+    Tables: ``reviews`` (deduplicated), ``listings``, ``cleaning_audit``, ``customers`` and
+    ``areas``; the run itself is appended to ``run_metrics``. The raw reviews are read once, and
+    every later step starts from a written table: a lost executor costs tasks, not the whole
+    lineage. Counts are taken from the written tables; unlike accumulators they do not drift
+    when a stage is repeated. A failed run is recorded too, and its exception raised.
     """
     spark = raw_reviews.sparkSession
     started = dt.datetime.now(dt.timezone.utc)
@@ -126,20 +125,25 @@ def _run_steps(
     clock: _Clock,
     record: dict,
 ) -> None:
-    unique = cleaning.drop_duplicate_reviews(raw_reviews.select(*cleaning.REVIEW_KEY))
-    unique = unique.withColumn("date", parse_review_date(F.col("date")))
+    unique = cleaning.unique_reviews(raw_reviews)
     unique = clock.step("clean_reviews", lambda: write_table(unique, f"{folder}/reviews"))
-    reviews = unique.filter(F.col("date").isNotNull())
+    reviews = unique.filter(F.col("date").isNotNull()).select(*cleaning.REVIEW_KEY)
 
-    listings = cleaning.clean_listings(raw_listings, settings.min_price, settings.max_price)
+    bounds = (settings.min_price, settings.max_price)
+    listings = cleaning.clean_listings(raw_listings, *bounds)
     listings = clock.step("clean_listings", lambda: write_table(listings, f"{folder}/listings"))
 
-    record["input_rows"] = clock.step(
-        "count_input",
-        lambda: {"reviews": raw_reviews.count(), "listings": raw_listings.count()},
-    )
-    kept = clock.step("count_clean", lambda: reviews.count() + listings.count())
-    record["rows_filtered"] = sum(record["input_rows"].values()) - kept
+    def audit() -> None:
+        steps = cleaning.unique_reviews_audit(unique).unionByName(
+            cleaning.listings_audit(raw_listings, *bounds)
+        )
+        counted = write_table(steps, f"{folder}/cleaning_audit").collect()  # four rows
+        record["input_rows"] = {
+            row["table_name"]: row["rows_before"] for row in counted if row["step_no"] == 1
+        }
+        record["rows_filtered"] = sum(row["rows_removed"] for row in counted)
+
+    clock.step("audit", audit)
 
     def check() -> None:
         totals = quality.quality_totals(

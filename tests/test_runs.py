@@ -1,7 +1,7 @@
 import pytest
 
 from stayvalue.operators import runs
-from stayvalue.plans import Settings, run
+from stayvalue.plans import Settings, customer_table, run
 from stayvalue.sources import parquet_tables
 
 
@@ -93,6 +93,7 @@ def test_whole_run(spark, sf_dir, tmp_path):
     kept = spark.read.parquet(str(folder / "reviews")).filter("date is not null").count()
     listings = spark.read.parquet(str(folder / "listings")).count()
     assert recorded["rows_filtered"] == 6200 - kept - listings
+    assert spark.read.parquet(str(folder / "cleaning_audit")).count() == 4
     assert 0 < spark.read.parquet(str(folder / "areas")).count() <= 20
     assert runs.read_runs(spark, str(tmp_path / "run_metrics")).count() == 1
     low, high = customers.selectExpr("min(recency)", "max(recency)").first()
@@ -102,6 +103,15 @@ def test_whole_run(spark, sf_dir, tmp_path):
     assert len(recorded["segments"]) == 6 and biggest < 0.8
 
 
+def test_run_equals_the_lazy_analysis(spark, sf_dir, tmp_path):
+    inputs = parquet_tables.reviews(spark, sf_dir), parquet_tables.listings(spark, sf_dir)
+    settings = Settings(reference_date="2001-01-01")
+    run_id = run(*inputs, str(tmp_path), settings).first()["run_id"]
+    written = spark.read.parquet(str(tmp_path / run_id / "customers"))
+    lazy = customer_table(*inputs, settings)
+    assert written.exceptAll(lazy).count() == lazy.exceptAll(written).count() == 0
+
+
 def test_failed_run_is_recorded_and_raised(spark, sf_dir, tmp_path):
     reviews = parquet_tables.reviews(spark, sf_dir)
     listings = parquet_tables.listings(spark, sf_dir).drop("price")
