@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayvalue.functions.parsing import parse_price, parse_review_date, price_digits
 
-# The accepted nightly prices, the names that mean no area, what makes a review unique.
+# Accepted nightly prices, names that mean no area, what makes a review unique.
 MIN_PRICE = 10.0
 MAX_PRICE = 10000.0
 UNKNOWN_AREAS = ("", "Unknown")
@@ -119,7 +119,7 @@ def unique_reviews_audit(unique: DataFrame) -> DataFrame:
 def listings_audit(
     listings: DataFrame, min_price: float = MIN_PRICE, max_price: float = MAX_PRICE
 ) -> DataFrame:
-    """Rows before, after and removed per listing cleaning step, from one pass, no shuffle of rows."""
+    """Rows before, after and removed per listing cleaning step, from one pass over the rows."""
     area_ok = known_area(F.col("neighbourhood_cleansed"))
     price_ok = parse_price(F.col("price")).between(min_price, max_price)
     totals = listings.agg(

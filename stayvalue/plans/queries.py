@@ -7,7 +7,6 @@ plain columns, so that results can be compared across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,10 +66,10 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _customer_query(name: str, report: Callable[[DataFrame], DataFrame]) -> None:
     """Register a report on the segmented customer table."""
 
-    @wraps(report)
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return report(_customers(spark, sf_dir))
 
+    query.__name__ = name
     QUERIES[name] = query
 
 

@@ -67,12 +67,11 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def guest_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``reviewer_id, nation, region`` of every guest (order -> customer -> nation -> region)."""
-    # nation and region are the fixed 25-row and 5-row geography tables.
     geography = table(spark, sf_dir, "nation").join(
-        F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = table(spark, sf_dir, "customer").join(
-        F.broadcast(geography), F.col("c_nationkey") == F.col("n_nationkey")
+        geography, F.col("c_nationkey") == F.col("n_nationkey")
     )
     return (
         table(spark, sf_dir, "orders")
