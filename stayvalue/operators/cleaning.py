@@ -53,13 +53,18 @@ def drop_duplicate_reviews(df: DataFrame, keys: tuple[str, ...] = REVIEW_KEY) ->
     return df.dropDuplicates(list(keys))
 
 
+def review_keys(reviews: DataFrame) -> DataFrame:
+    """The three columns that matter of a review, the listing id as text as in the listings."""
+    return reviews.select(F.col("listing_id").cast("string"), "reviewer_id", "date")
+
+
 def clean_reviews(reviews: DataFrame) -> DataFrame:
     """Raw reviews -> ``listing_id, reviewer_id, date``: deduplicated, with real dates.
 
     Only the three key columns travel, and since the date test reads key columns only Catalyst
     moves it below the deduplication: bad rows are never shuffled.
     """
-    return normalise_dates(drop_duplicate_reviews(reviews.select(*REVIEW_KEY)))
+    return normalise_dates(drop_duplicate_reviews(review_keys(reviews)))
 
 
 def clean_listings(
@@ -99,7 +104,8 @@ def unique_reviews(reviews: DataFrame) -> DataFrame:
     :func:`unique_reviews_audit` counts, so one shuffle serves cleaning and audit.
     """
     return (
-        reviews.groupBy(*REVIEW_KEY)
+        review_keys(reviews)
+        .groupBy(*REVIEW_KEY)
         .agg(F.count("*").alias("copies"))
         .withColumn("date", parse_review_date(F.col("date")))
     )

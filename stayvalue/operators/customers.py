@@ -34,6 +34,10 @@ def _of_segments(customers: DataFrame, segments: Sequence[str]) -> DataFrame:
     return customers.filter(F.col("segment").isin(wanted))
 
 
+def _by_value() -> tuple[Column, ...]:
+    return F.desc("monetary"), F.asc("reviewer_id")
+
+
 def _report_columns(customers: DataFrame) -> DataFrame:
     return customers.select(
         "reviewer_id",
@@ -46,13 +50,17 @@ def _report_columns(customers: DataFrame) -> DataFrame:
 
 
 def high_value_customers(
-    customers: DataFrame, segments: Sequence[str] = PRIORITY_SEGMENTS
+    customers: DataFrame, segments: Sequence[str] = PRIORITY_SEGMENTS, ranked: bool = False
 ) -> DataFrame:
     """All customers of the priority segments, columns in report order, area names repaired.
 
-    ``segments`` narrows the choice; names outside the priority list are ignored.
+    ``segments`` narrows the choice; names outside the priority list are ignored. ``ranked``
+    sorts by value for an export: a range sort, whose ranges end inside a run of equal values too.
     """
-    return _report_columns(_of_segments(customers, segments))
+    chosen = _of_segments(customers, segments)
+    if ranked:
+        chosen = chosen.orderBy(*_by_value())
+    return _report_columns(chosen)
 
 
 def priority_customers(
@@ -61,7 +69,7 @@ def priority_customers(
     """The ``max_rows`` most valuable customers of the priority segments."""
     best = (
         _of_segments(customers, segments)
-        .orderBy(F.desc("monetary"), "reviewer_id")
+        .orderBy(*_by_value())
         .limit(max_rows)
     )
     return _report_columns(best)

@@ -216,9 +216,9 @@ def area_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def high_value_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CSV export of all high-value customers, read back."""
+    """The CSV export of all high-value customers, best first, read back."""
     path = writers.scratch_path(spark, "high-value-customers")
-    rows = customers.high_value_customers(_customers(spark, sf_dir))
+    rows = customers.high_value_customers(_customers(spark, sf_dir), ranked=True)
     writers.export_csv(rows, path)
     exported = csv_files.read_csv_columns(spark, path, rows.columns, multi_line=False)
     return exported.withColumn("monetary", F.col("monetary").cast("double"))

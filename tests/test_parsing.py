@@ -7,10 +7,12 @@ from pyspark.sql import types as T
 from stayvalue.operators.cleaning import (
     clean_listings,
     clean_prices,
+    clean_reviews,
     cleaning_audit,
     drop_duplicate_reviews,
     keep_known_areas,
     normalise_dates,
+    unique_reviews,
 )
 
 PRICES = [
@@ -122,6 +124,12 @@ def test_audit_equals_step_by_step_counts(spark):
     assert clean_listings(listings).count() == 1
 
 
+def test_numeric_listing_ids_become_text(spark):
+    reviews = spark.createDataFrame([(1, 7, "2023-01-05")], "listing_id long, reviewer_id long, date string")
+    assert clean_reviews(reviews).schema["listing_id"].dataType == T.StringType()
+    assert unique_reviews(reviews).first()["copies"] == 1
+
+
 def test_audit_of_empty_tables(spark):
     reviews = spark.createDataFrame([], "listing_id string, reviewer_id long, date string")
     listings = spark.createDataFrame(

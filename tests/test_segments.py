@@ -100,6 +100,8 @@ def test_priority_customers(table):
     only = customers.priority_customers(table, segments=["At Risk", "Lost"]).collect()
     assert {r["segment"] for r in only} == {"At Risk"}
     assert customers.high_value_customers(table).count() == 4
+    ranked = customers.high_value_customers(table, ranked=True).collect()
+    assert [r["reviewer_id"] for r in ranked] == [2, 1, 3, 4]
 
 
 def test_sample_is_exact_and_repeatable(spark):
