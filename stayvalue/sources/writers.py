@@ -10,18 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from stayvalue.operators.layout import balance_partitions
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the session names it in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder all executors can reach: the given one, else the session's checkpoint folder.
 
-    Only where the setting is absent, as in local tests, a new temporary folder is used.
+    The session names it in ``spark.checkpoint.dir`` or by ``SparkContext.setCheckpointDir``. Only
+    a session that runs in one local process falls back to a new temporary folder; elsewhere a
+    missing folder is an error, since a machine's own disk is seen by that machine alone.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else tempfile.mkdtemp(prefix="stayvalue-")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    named = folder or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("no shared folder: set spark.checkpoint.dir or give a folder")
+    return tempfile.mkdtemp(prefix="stayvalue-")
+
+
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A path under the shared folder that no other run uses; removing it is the caller's part."""
+    return f"{shared_folder(spark, folder)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_table(
