@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayvalue.llm import mixing, packing
+from stayvalue.llm import langid, mixing, packing, quality_llr
 from stayvalue.llm.shared import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures, log-likelihood ratio and verdict of every document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_llr.judge(docs, labels)
+
+
+@_query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()).select("text", "lang"))
+    return langid.identify(docs, model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 @_query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its bin."""

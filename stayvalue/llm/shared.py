@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,3 +29,30 @@ def free_name(wanted: str, taken: list[str]) -> str:
     while wanted.lower() in used:
         wanted += "_"
     return wanted
+
+
+class Tally:
+    """Counts in a table of fixed size, summed up a few million at a time."""
+
+    FLUSH = 1 << 21
+
+    def __init__(self, rows: int, buckets: int) -> None:
+        self.counts = np.zeros((rows, buckets), dtype=np.int64)
+        self.waiting: list[list[np.ndarray]] = [[] for _ in range(rows)]
+        self.size = 0
+
+    def add(self, row: int, buckets: np.ndarray) -> None:
+        self.waiting[row].append(buckets)
+        self.size += len(buckets)
+        if self.size > self.FLUSH:
+            self.total()
+
+    def total(self) -> np.ndarray:
+        for row, waiting in enumerate(self.waiting):
+            if waiting:
+                self.counts[row] += np.bincount(
+                    np.concatenate(waiting), minlength=self.counts.shape[1]
+                )
+                waiting.clear()
+        self.size = 0
+        return self.counts
