@@ -16,7 +16,6 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayvalue.llm.shared import Tally
+from stayvalue.llm.shared import Tally, free_name
 
 BUCKETS = 1 << 16
 ORDERS = (2, 3)
@@ -37,6 +36,8 @@ SWITCH_PENALTY = 12.0
 #: Letters that are scored at a time; only memory depends on it.
 CHUNK = 1 << 18
 UNKNOWN = "und"
+#: A document is rejected if its language labels a smaller share of its letters.
+MIN_SCORE = 0.5
 
 #: First code points of the script ranges, with the script's number; 0 is other.
 SCRIPTS = (
@@ -69,10 +70,8 @@ _SCRIPT_FROM = np.array([start for start, _ in SCRIPTS])
 _SCRIPT_OF = np.array([number for _, number in SCRIPTS], dtype=np.int64)
 
 
-@cache
-def _letters() -> np.ndarray:
-    """Whether each code point is a letter."""
-    return np.array([chr(c).isalpha() for c in range(sys.maxunicode + 1)])
+#: Whether each code point is a letter.
+_LETTERS = np.array([chr(c).isalpha() for c in range(sys.maxunicode + 1)])
 
 
 @dataclass
@@ -87,17 +86,16 @@ class Words:
 
 def words_of(text: str) -> Iterator[Words]:
     """The words of a lower-cased text, a bounded chunk at a time; a chunk ends between words."""
-    is_letter = _letters()
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     at = 0
     while at < len(codes):
         end = min(len(codes), at + CHUNK)
         if end < len(codes):
-            gaps = np.flatnonzero(~is_letter[codes[at:end]])
+            gaps = np.flatnonzero(~_LETTERS[codes[at:end]])
             end = at + int(gaps[-1]) + 1 if len(gaps) else end
         part = codes[at:end]
         at = end
-        letter = is_letter[part]
+        letter = _LETTERS[part]
         places = np.flatnonzero(letter)
         if not len(places):
             continue
@@ -236,7 +234,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     ``und`` with score 0 and no spans; with no training documents every text is. Only the text is
     looked at; repeated rows get the same answer, each. An empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     span = T.StructType(
         [T.StructField("words", T.LongType()), T.StructField("lang", T.StringType())]
     )
@@ -252,7 +249,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [predict(text, shared.value) for text in batch.column(1).to_pylist()]
+            found = [predict(text, model) for text in batch.column(1).to_pylist()]
             spans = [[{"words": n, "lang": lang} for n, lang in row[2]] for row in found]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -267,6 +264,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", F.lower("text").alias("text")).mapInArrow(task, schema)
 
 
+def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents, unchanged, whose language is known and labels enough of their letters."""
+    lowered = free_name("lowered", docs.columns)
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [predict(text, model) for text in batch.column(lowered).to_pylist()]
+            good = [lang != UNKNOWN and score >= min_score for lang, score, _ in found]
+            yield batch.drop_columns([lowered]).filter(pa.array(good, pa.bool_()))
+
+    return docs.withColumn(lowered, F.lower("text")).mapInArrow(task, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document is kept from training: CRC-32 of its id as text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayvalue.llm import langid, mixing, packing, quality_llr
+from stayvalue.llm import langid, mixing, packing, pii, quality_llr, simhash
 from stayvalue.llm.shared import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.judge(docs, labels)
 
 
+@_query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.report(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
@@ -55,6 +61,12 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(slim).withColumn("keep_probability", F.round("keep_probability", 6))
 
 
+@_query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms of every document."""
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
