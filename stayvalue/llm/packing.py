@@ -185,7 +185,11 @@ def pack(
     empty result.
     """
     largest = max(lengths)
-    slim = docs.select(F.col(identity).alias("id"), F.col(tokens).cast("long").alias("tokens"))
+    # Stored, as the counts are read twice and may cost a pass over the texts.
+    slim = store(
+        docs.select(F.col(identity).alias("id"), F.col(tokens).cast("long").alias("tokens")),
+        "pack-tokens",
+    )
     pieces = pieces_of(slim, "tokens", largest)
     histogram = {
         row["piece_length"]: row["n"]
