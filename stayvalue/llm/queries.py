@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayvalue.llm import langid, mixing, packing, pii, quality_llr, simhash
+from stayvalue.llm import ann, langid, mixing, packing, pii, quality_llr, simhash, warc
 from stayvalue.llm.shared import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,18 +61,45 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(slim).withColumn("keep_probability", F.round("keep_probability", 6))
 
 
+@_query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and disclosing terms of every document."""
     return pii.report(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth."""
+    vectors = _table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vec")
+    return ann.nearest(vectors.select("vec_id", "vec"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ORACLE_SQL: dict[str, str] = {"op5_mixture": mixing.oracle_sql()}
+OP6_SQL = f"""
+with sums as (
+    select page_id, coalesce(octet_length(encode(html)), 0)::BIGINT as payload_bytes,
+        sha256(coalesce(html, '')) as payload_digest from pages),
+firsts as (
+    select payload_digest, min(page_id) as first_id from sums
+    where payload_bytes >= {warc.MIN_REVISIT_BYTES} group by payload_digest)
+select page_id, payload_bytes, payload_digest,
+    case when first_id is null or first_id is not distinct from page_id then 'response'
+        else 'revisit' end as record_type,
+    case when first_id is distinct from page_id then first_id end as refers_to
+from sums left join firsts using (payload_digest)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op5_mixture": mixing.oracle_sql()}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
