@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayvalue.llm import ann, langid, mixing, packing, pii, quality_llr, simhash, warc
+from stayvalue.llm import ann, html_text, langid, mixing, packing, pii, quality_llr, simhash, warc
 from stayvalue.llm.shared import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,13 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors.select("vec_id", "vec"))
 
 
+@_query
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
