@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayvalue.llm import ann, html_text, langid, mixing, packing, pii, quality_llr, simhash, warc
+from stayvalue.llm import ann, html_text, langid, mixing, packing, pii, quality_llr, simhash, substrings, warc
 from stayvalue.llm.shared import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without its repeated 200-byte strings."""
+    return substrings.report(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every hundredth."""
