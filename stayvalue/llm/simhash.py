@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,14 +97,21 @@ def postings(fps: DataFrame) -> DataFrame:
     return fps.select("fp", F.posexplode(keys).alias("positions", "shared"))
 
 
-def verified_pairs(index: DataFrame, lists: DataFrame) -> DataFrame:
-    """Distinct (a, b) with a < b that meet in one of the lists and differ in few enough bits."""
-    key = ["positions", "shared"]
-    members = store(index.join(lists.select(*key), key), "simhash-members")
+def shared_lists(index: DataFrame) -> DataFrame:
+    """The index without lists of one member; ``n`` is the length of the list.
+
+    One shuffle, whatever the size; a list streams through its task and spills if it is long.
+    """
+    in_list = Window.partitionBy("positions", "shared")
+    return index.withColumn("n", F.count("*").over(in_list)).filter("n > 1")
+
+
+def verified_pairs(members: DataFrame) -> DataFrame:
+    """Distinct (a, b) with a < b that meet in a list and differ in few enough bits."""
     other = members.withColumnRenamed("fp", "b")
     return (
         members.withColumnRenamed("fp", "a")
-        .join(other, key)
+        .join(other, ["positions", "shared"])
         .filter("a < b")
         .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
         .select("a", "b")
@@ -112,14 +119,12 @@ def verified_pairs(index: DataFrame, lists: DataFrame) -> DataFrame:
     )
 
 
-def ties_of_long_lists(index: DataFrame, lists: DataFrame) -> DataFrame:
+def ties_of_long_lists(members: DataFrame) -> DataFrame:
     """(a, b) that connect all linked members of the lists, without comparing pairs.
 
     Each member stands at every fingerprint within 2 bits of it; all that stand at one place are
     within 4 bits of each other and are tied to the smallest of them.
     """
-    key = ["positions", "shared"]
-    members = store(index.join(lists.select(*key), key).select("fp").distinct(), "simhash-long")
 
     def flip(bit: str):
         # Bit 64 stands for no flip.
@@ -128,7 +133,8 @@ def ties_of_long_lists(index: DataFrame, lists: DataFrame) -> DataFrame:
         )
 
     places = (
-        members.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(64))))
+        store(members.select("fp").distinct(), "simhash-long")
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(64))))
         .withColumn("j", F.explode(F.sequence(F.col("i"), F.lit(64))))
         .filter("i < j or i = 64")
         .select("fp", F.col("fp").bitwiseXOR(flip("i")).bitwiseXOR(flip("j")).alias("place"))
@@ -144,16 +150,12 @@ def ties_of_long_lists(index: DataFrame, lists: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     """(a, b) that connect exactly the fingerprints which links of at most 4 bits connect."""
-    index = postings(fps)
-    sizes = store(
-        index.groupBy("positions", "shared").agg(F.count("*").alias("n")).filter("n > 1"),
-        "simhash-lists",
-    )
-    pairs = verified_pairs(index, sizes.filter(F.col("n") <= list_limit))
-    long_lists = sizes.filter(F.col("n") > list_limit)
+    members = store(shared_lists(postings(fps)), "simhash-lists")
+    pairs = verified_pairs(members.filter(F.col("n") <= list_limit).drop("n"))
+    long_lists = members.filter(F.col("n") > list_limit)
     if long_lists.isEmpty():
         return pairs
-    return pairs.unionAll(ties_of_long_lists(index, long_lists))
+    return pairs.unionAll(ties_of_long_lists(long_lists))
 
 
 def group(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
