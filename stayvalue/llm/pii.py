@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,16 +104,22 @@ def _terms_before(text: str, end: int) -> list[tuple[str, int, int]]:
 def contexts(text: str, spans: list[Span]) -> list[dict]:
     """For each entity its terms nearby (outside all entities), and a hash of that context."""
     out = []
+    starts = [start for _, start, _ in spans]
+    ends = list(accumulate((end for _, _, end in spans), max))
+
+    def inside(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return before > 0 and ends[before - 1] > start
+
     for kind, start, end in spans:
         near = _terms_before(text, start)
         for match in _TERM.finditer(text, end):
             near.append((match.group(), *match.span()))
             if len(near) >= 2 * NEAR or match.start() > end + 64 * NEAR:
                 break
-        free = [
-            t for t in near if not any(t[1] < other[2] and other[1] < t[2] for other in spans)
+        terms = [
+            {"term": t.lower(), "start": a, "end": b} for t, a, b in near if not inside(a, b)
         ]
-        terms = [{"term": t.lower(), "start": a, "end": b} for t, a, b in free]
         value = text[start:end].lower()
         if kind in ("card", "phone"):
             value = re.sub("[^0-9]", "", value)
@@ -215,9 +223,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     if total == 0 or wanted.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("disclosure")).limit(0)
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("term"))
-    everywhere = (
-        words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("all"))
-    )
+    # Counted before the join, so that common terms do not pass it once per occurrence.
+    everywhere = words.groupBy("term").agg(F.count("*").alias("all")).join(wanted, "term")
     share = F.least(F.lit(1.0), F.col("together") / F.col("all"))
     prior = F.least(F.lit(1.0), F.col("near_words") / F.lit(float(total)))
     disclosure = F.try_divide(F.log(share / prior), -F.log(prior))
