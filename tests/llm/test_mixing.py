@@ -1,0 +1,68 @@
+import re
+
+import pytest
+
+from stayvalue.llm import mixing
+from helpers import final_plan
+
+
+def test_margins_are_met(spark, read):
+    docs = mixing.with_tokens_and_topic(read("documents")).cache()
+    cells = mixing.cell_tokens(docs)
+    targets = mixing.flattened_targets(cells, mixing.DIMENSIONS, 0.9)
+    rates = mixing.rake(cells, targets, share=0.3, rounds=30).collect()
+    total = sum(r.cell_tokens for r in rates)
+    assert all(0 <= r.rate <= 1 for r in rates)
+    for i, target in enumerate(targets):
+        for row in target.collect():
+            held = sum(r.cell_tokens * r.rate for r in rates if r[f"k{i}"] == row[f"k{i}"])
+            reachable = sum(r.cell_tokens for r in rates if r[f"k{i}"] == row[f"k{i}"])
+            wanted = min(row.share * 0.3 * total, reachable)
+            assert held == pytest.approx(wanted, rel=0.1)
+
+
+def test_only_functions_on_the_plan(spark, read):
+    plan = final_plan(mixing.mix_documents(read("documents")))
+    assert not re.search("Python|Pandas|Arrow|BatchEval|Cartesian|NestedLoop", plan)
+
+
+def test_topics_and_tokens(spark, documents):
+    docs = documents([None, "", " \t", "apple tree", "dog sun run", "1 2", "\tÄpfel  x\n"])
+    rows = mixing.with_tokens_and_topic(docs).orderBy("doc_id").collect()
+    assert [r.tokens for r in rows] == [0, 0, 0, 2, 3, 2, 2]
+    assert [r.topic for r in rows] == ["7", "7", "7", "0", "3", "7", "6"]
+
+
+def test_drawing_is_repeatable_and_follows_the_rates(spark):
+    docs = spark.range(20000).selectExpr(
+        "id as doc_id", "if(id % 3 = 0, 'big', concat('s', id % 7)) as source",
+        "if(id % 2 = 0, 'en', null) as lang", "cast(id % 4 as string) as topic",
+        "cast(10 as long) as tokens", "'x' as kept", "'y' as k0",
+    )
+    drawn = mixing.mix(docs, share=0.4)
+    assert drawn.columns.count("kept") == 1 and "k0" in drawn.columns
+    rows = drawn.collect()
+    again = mixing.mix(docs.repartition(9), share=0.4).filter("kept").count()
+    kept = sum(r.kept for r in rows)
+    assert kept == again
+    assert kept == pytest.approx(0.4 * 20000, rel=0.05)
+    assert kept == pytest.approx(sum(r.keep_probability for r in rows), rel=0.05)
+
+
+def test_odd_rows(spark, documents):
+    docs = documents([(1, None, None, None, None), (None, "a b", None, None, 1), (2, "a", "en", "s", 1)] * 2)
+    rows = mixing.mix_documents(docs).collect()
+    assert len(rows) == 6
+    assert {r.keep_probability for r in rows if r.doc_id == 1} == {0.0}
+    assert len({r.kept for r in rows if r.doc_id == 2}) == 1
+    assert mixing.mix_documents(docs.limit(0)).collect() == []
+
+
+def test_given_targets(spark):
+    docs = spark.range(1000).selectExpr(
+        "id as doc_id", "if(id % 2 = 0, 'a', 'b') as source", "cast(1 as long) as tokens"
+    )
+    targets = [spark.createDataFrame([("=a", 0.9), ("=b", 0.1)], "k0 string, share double")]
+    rows = mixing.mix(docs, targets=targets, dimensions=("source",), share=0.5).collect()
+    rates = {r.source: r.keep_probability for r in rows}
+    assert rates["a"] == pytest.approx(0.9) and rates["b"] == pytest.approx(0.1)
