@@ -20,12 +20,14 @@ def parse_price(price: Column) -> Column:
     return price_digits(price).try_cast("double")
 
 
+def cast_review_date(date: Column) -> Column:
+    """Text that is known to start like a date as DATE; NULL if there is no such day."""
+    return F.replace(date.cast("string"), F.lit("/"), F.lit("-")).try_cast("date")
+
+
 def parse_review_date(date: Column) -> Column:
     """Review date text as DATE; slashes are accepted, impossible dates become NULL.
 
     Works on DATE and TIMESTAMP input too, since both print as ``yyyy-MM-dd...``.
     """
-    text = date.cast("string")
-    return F.when(
-        text.rlike(DATE_PREFIX), F.replace(text, F.lit("/"), F.lit("-")).try_cast("date")
-    )
+    return F.when(date.cast("string").rlike(DATE_PREFIX), cast_review_date(date))

@@ -7,27 +7,27 @@ from pyspark.sql import functions as F
 
 from stayvalue.functions.money import exact_avg, exact_sum
 from stayvalue.functions.text import repair_text
-from stayvalue.operators.quantiles import exact_quantiles
+from stayvalue.operators.quantiles import quantiles_of_counts, value_counts
 
 
-def area_metrics(customers: DataFrame, top_n: int = 20) -> DataFrame:
-    """The ``top_n`` favourite neighbourhoods by revenue, with mean value and customers."""
-    return (
-        customers.groupBy("favourite_neighbourhood")
-        .agg(
-            exact_sum(F.col("monetary")).alias("total_revenue"),
-            exact_avg(F.col("monetary")).alias("avg_customer_value"),
-            F.count("*").alias("customer_count"),
-        )
-        .orderBy(F.desc("total_revenue"), "favourite_neighbourhood")
-        .limit(top_n)
+def area_metrics(customers: DataFrame) -> DataFrame:
+    """Revenue, mean value and customers of every favourite neighbourhood."""
+    return customers.groupBy("favourite_neighbourhood").agg(
+        exact_sum(F.col("monetary")).alias("total_revenue"),
+        exact_avg(F.col("monetary")).alias("avg_customer_value"),
+        F.count("*").alias("customer_count"),
     )
 
 
-def top_areas(customers: DataFrame, top_n: int = 10) -> DataFrame:
-    """The leading rows of :func:`area_metrics` with names repaired for display."""
+def top_areas(metrics: DataFrame, n: int = 20) -> DataFrame:
+    """The ``n`` rows of :func:`area_metrics` with most revenue; ties by name."""
+    return metrics.orderBy(F.desc("total_revenue"), "favourite_neighbourhood").limit(n)
+
+
+def displayed_areas(metrics: DataFrame, n: int = 10) -> DataFrame:
+    """:func:`top_areas` with names repaired for display."""
     return (
-        area_metrics(customers, top_n)
+        top_areas(metrics, n)
         .withColumn(
             "favourite_neighbourhood", repair_text(F.col("favourite_neighbourhood"))
         )
@@ -38,19 +38,21 @@ def top_areas(customers: DataFrame, top_n: int = 10) -> DataFrame:
 def area_pricing(stays: DataFrame) -> DataFrame:
     """Demand and accepted nightly prices per neighbourhood.
 
-    Guests are counted through (area, guest) pairs and quartiles through price counts, so a
-    neighbourhood with a third of all stays is still worked on by many tasks.
+    Stays are joined and shuffled once, as counts per area, guest and price. Guests and quartiles
+    follow from the counts, so a neighbourhood with a third of all stays is still worked on by many
+    tasks.
     """
+    by = "neighbourhood"
+    counts = stays.groupBy(by, "reviewer_id", "price_cleaned").agg(F.count("*").alias("n"))
     demand = (
-        stays.groupBy("neighbourhood", "reviewer_id")
-        .agg(F.count("*").alias("stays"))
-        .groupBy("neighbourhood")
+        counts.groupBy(by, "reviewer_id")
+        .agg(F.sum("n").alias("stays"))
+        .groupBy(by)
         .agg(F.sum("stays").alias("stays"), F.count("reviewer_id").alias("guests"))
     )
-    prices = exact_quantiles(
-        stays,
-        ["neighbourhood"],
-        "price_cleaned",
+    prices = quantiles_of_counts(
+        value_counts(counts, [by], "price_cleaned", weight="n"),
+        [by],
         {"price_q1": 0.25, "price_median": 0.5, "price_q3": 0.75},
     )
     return demand.join(prices, "neighbourhood").select(

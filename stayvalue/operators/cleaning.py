@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayvalue.functions.parsing import parse_price, parse_review_date, price_digits
+from stayvalue.functions.parsing import cast_review_date, parse_price, parse_review_date, price_digits
 
 # Accepted nightly prices, names that mean no area, what makes a review unique.
 MIN_PRICE = 10.0
@@ -35,8 +35,9 @@ def clean_prices(
 
 def normalise_dates(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Turn ``date_col`` into DATE and drop the rows where that is not possible."""
-    parsed = parse_review_date(F.col(date_col))
-    return df.filter(parsed.isNotNull()).withColumn(date_col, parsed)
+    date = F.col(date_col)
+    # The pattern is matched once, in the filter; what passed it only needs to be cast again.
+    return df.filter(parse_review_date(date).isNotNull()).withColumn(date_col, cast_review_date(date))
 
 
 def keep_known_areas(df: DataFrame, area_col: str = "neighbourhood_cleansed") -> DataFrame:
@@ -122,16 +123,37 @@ def unique_reviews_audit(unique: DataFrame) -> DataFrame:
     return totals.select(F.inline(_audit_rows("reviews", steps)))
 
 
-def listings_audit(
+def judged_listings(
     listings: DataFrame, min_price: float = MIN_PRICE, max_price: float = MAX_PRICE
 ) -> DataFrame:
-    """Rows before, after and removed per listing cleaning step, from one pass over the rows."""
-    area_ok = known_area(F.col("neighbourhood_cleansed"))
-    price_ok = parse_price(F.col("price")).between(min_price, max_price)
-    totals = listings.agg(
+    """All listings with clean columns, ``area_ok`` and ``price_ok``.
+
+    What :func:`clean_listings` keeps are the rows where both hold (:func:`accepted_listings`), so
+    one pass over the raw rows serves cleaning and audit.
+    """
+    price = parse_price(F.col("price"))
+    return listings.select(
+        F.col("id").cast("string").alias("listing_id"),
+        price.alias("price_cleaned"),
+        F.col("neighbourhood_cleansed").alias("neighbourhood"),
+        known_area(F.col("neighbourhood_cleansed")).alias("area_ok"),
+        F.coalesce(price.between(min_price, max_price), F.lit(False)).alias("price_ok"),
+    )
+
+
+def accepted_listings(judged: DataFrame) -> DataFrame:
+    """The clean listings among :func:`judged_listings`."""
+    return judged.filter("area_ok and price_ok").select(
+        "listing_id", "price_cleaned", "neighbourhood"
+    )
+
+
+def judged_listings_audit(judged: DataFrame) -> DataFrame:
+    """Rows before, after and removed per listing cleaning step, from :func:`judged_listings`."""
+    totals = judged.agg(
         F.count("*").alias("raw"),
-        F.count_if(area_ok).alias("placed"),
-        F.count_if(area_ok & price_ok).alias("priced"),
+        F.count_if(F.col("area_ok")).alias("placed"),
+        F.count_if(F.col("area_ok") & F.col("price_ok")).alias("priced"),
     )
     steps = [("areas", "raw", "placed"), ("prices", "placed", "priced")]
     return totals.select(F.inline(_audit_rows("listings", steps)))
@@ -139,4 +161,6 @@ def listings_audit(
 
 def cleaning_audit(reviews: DataFrame, listings: DataFrame) -> DataFrame:
     """Both audits: ``table_name, step_no, step, rows_before, rows_after, rows_removed``."""
-    return unique_reviews_audit(unique_reviews(reviews)).unionByName(listings_audit(listings))
+    return unique_reviews_audit(unique_reviews(reviews)).unionByName(
+        judged_listings_audit(judged_listings(listings))
+    )

@@ -12,27 +12,36 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per e-fold: about 0.1 % of the value, so a bucket of whole-cent amounts around 10,000
-# has some 1,000 distinct values. All doubles up to 1e300 give fewer than 700,000 buckets.
+# Buckets per e-fold: about 0.1 % of the value at any magnitude, so a bucket of whole-cent amounts
+# around 10,000 has some 10 distinct cents per unit. The logarithms of all positive doubles lie
+# between -745 and 710, so there are fewer than 1.5 million buckets on either side of zero.
 BUCKETS_PER_E = 1000
+LEAST_LOG, MOST_LOG = -746, 711
 
 
 def _bucket(value: Column) -> Column:
-    """Order-preserving coarse bucket of a number."""
-    size = F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_E)
-    return F.when(value < 0, -size - 1).otherwise(size)
+    """Order-preserving coarse bucket of a number; 0 for zero, the infinities at the ends."""
+    size = F.abs(value)
+    log = F.when(size == float("inf"), F.lit(float(MOST_LOG))).otherwise(F.log(size))
+    place = F.floor((log - LEAST_LOG) * BUCKETS_PER_E)
+    return F.when(value < 0, -place).when(value > 0, place).otherwise(F.lit(0))
 
 
-def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """``by..., value, n``: how often each non-NULL value occurs in each group.
+def value_counts(
+    df: DataFrame, by: Sequence[str], value: str, weight: str | None = None
+) -> DataFrame:
+    """``by..., value, n``: how often each value occurs in each group; NULL and NaN do not count.
 
-    The group columns must not themselves be called ``value``, ``n``, ``bucket``, ``total`` or
-    ``before``.
+    ``weight`` names a column of counts where the rows are already combined. The group columns must
+    not themselves be called ``value``, ``n``, ``bucket``, ``total`` or ``before``.
     """
+    number = F.col(value).cast("double")
+    counted = number.isNotNull() & ~F.isnan(number)
+    times = F.count_if(counted) if weight is None else F.sum(F.when(counted, F.col(weight)))
+    # Tested after counting: a filter on the value would move to the scan and make the plan differ
+    # from others over the same rows, whose shuffle it can reuse.
     return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("value"))
-        .agg(F.count("*").alias("n"))
+        df.groupBy(*by, number.alias("value")).agg(times.alias("n")).filter(F.col("n") > 0)
     )
 
 
@@ -98,10 +107,12 @@ def quantiles_of_counts(
     return ends.select(
         *by,
         *(
-            (
+            F.when(F.col(f"{name}__low") == F.col(f"{name}__high"), F.col(f"{name}__low"))
+            .otherwise(
                 F.col(f"{name}__low")
                 + (F.col(f"{name}__high") - F.col(f"{name}__low")) * F.col(f"{name}__part")
-            ).alias(name)
+            )
+            .alias(name)
             for name in quantiles
         ),
     )

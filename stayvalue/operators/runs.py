@@ -69,7 +69,7 @@ def run_alerts(
             F.format_string("%.1f%% rows filtered", F.round(pct, 1)),
         ),
         alert(
-            ~F.col("data_quality_passed"),
+            ~F.col("data_quality_passed"),  # NULL, if never checked, raises nothing
             "DATA QUALITY",
             F.format_string("%d errors", F.col("data_quality_errors")),
         ),

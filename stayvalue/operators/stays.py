@@ -6,13 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# A broadcast relation may take several times its estimate and has to stay below 8 GB.
+MAX_BROADCAST_BYTES = 1 << 30
+
+
 def estimated_size(df: DataFrame) -> int:
     """Catalyst's size estimate in bytes for the optimised plan of ``df``."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_within(df: DataFrame, max_bytes: int) -> DataFrame:
-    """Hint a broadcast only if the estimated size is within ``max_bytes``."""
+    """Hint a broadcast only if the estimated size is within ``max_bytes``.
+
+    The estimate counts compressed file bytes before any filter; the relation in memory may take
+    several times as much. Spark itself fails beyond 8 GB, so no limit over 1 GB is accepted. Needs
+    a classic session: plan statistics do not exist on Spark Connect.
+    """
+    if max_bytes > MAX_BROADCAST_BYTES:
+        raise ValueError(f"a broadcast limit of {max_bytes} bytes is too large")
     return F.broadcast(df) if estimated_size(df) <= max_bytes else df
 
 

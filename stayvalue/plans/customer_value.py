@@ -23,7 +23,6 @@ class Settings:
     min_price: float = cleaning.MIN_PRICE
     max_price: float = cleaning.MAX_PRICE
     rules: Sequence[segments.SegmentRule] = segments.DEFAULT_RULES
-    top_areas: int = 20
     broadcast_max_bytes: int | None = None
 
 
@@ -52,10 +51,11 @@ def _customers(stay_rows: DataFrame, settings: Settings) -> DataFrame:
 
 @dataclass
 class _Clock:
-    """Seconds per step, and what went wrong."""
+    """Seconds per step, and the step that ended last."""
 
     started: float = field(default_factory=time.monotonic)
     stages: dict[str, float] = field(default_factory=dict)
+    last: str = "prepare"
 
     def step(self, name: str, work: Callable):
         begin = time.monotonic()
@@ -63,6 +63,7 @@ class _Clock:
             return work()
         finally:
             self.stages[name] = time.monotonic() - begin
+            self.last = name
 
     def total(self) -> float:
         return time.monotonic() - self.started
@@ -76,11 +77,14 @@ def run(
 ) -> DataFrame:
     """Perform the analysis, write its tables under ``output_dir`` and return the run's row.
 
-    Tables: ``reviews`` (deduplicated), ``listings``, ``cleaning_audit``, ``customers`` and
-    ``areas``; the run itself is appended to ``run_metrics``. The raw reviews are read once, and
+    Tables: ``reviews`` (deduplicated; NULL date if impossible), ``listings`` (with ``area_ok`` and
+    ``price_ok``), ``cleaning_audit``, ``customers`` and ``areas`` (all of them); the run itself is
+    appended to ``run_metrics``. Each raw table is read once, and
     every later step starts from a written table: a lost executor costs tasks, not the whole
     lineage. Counts are taken from the written tables; unlike accumulators they do not drift
-    when a stage is repeated. A failed run is recorded too, and its exception raised.
+    when a stage is repeated. The status is ``PARTIAL`` if a quality rule of severity ERROR failed.
+    A failed run is recorded too, with ``step: message``, and its exception raised even if the
+    record cannot be written; the quality outcome of a run that was never checked is NULL.
     """
     spark = raw_reviews.sparkSession
     started = dt.datetime.now(dt.timezone.utc)
@@ -95,26 +99,33 @@ def run(
         "input_rows": {},
         "output_rows": 0,
         "rows_filtered": 0,
-        "data_quality_passed": True,
-        "data_quality_warnings": 0,
-        "data_quality_errors": 0,
+        "data_quality_passed": None,
+        "data_quality_warnings": None,
+        "data_quality_errors": None,
         "segments": {},
         "errors": [],
     }
-    try:
-        _run_steps(raw_reviews, raw_listings, folder, settings, clock, record)
-        record["status"] = "SUCCESS"
-    except Exception as error:
-        record["status"] = "FAILED"
-        record["errors"] = [str(error)]
-        raise
-    finally:
+
+    def append() -> DataFrame:
         record["stage_durations"] = clock.stages
         record["total_duration_seconds"] = clock.total()
         row = tuple(record[name] for name in runs.RUN_SCHEMA.names)
         recorded = spark.createDataFrame([row], runs.RUN_SCHEMA)
         runs.append_runs(recorded, f"{output_dir.rstrip('/')}/run_metrics")
-    return recorded
+        return recorded
+
+    try:
+        _run_steps(raw_reviews, raw_listings, folder, settings, clock, record)
+    except Exception as error:
+        record["status"] = "FAILED"
+        record["errors"] = [f"{clock.last}: {error}"]
+        try:
+            append()
+        except Exception as second:
+            error.add_note(f"the run could not be recorded: {second}")
+        raise
+    record["status"] = "SUCCESS" if record["data_quality_passed"] else "PARTIAL"
+    return append()
 
 
 def _run_steps(
@@ -130,12 +141,15 @@ def _run_steps(
     reviews = unique.filter(F.col("date").isNotNull()).select(*cleaning.REVIEW_KEY)
 
     bounds = (settings.min_price, settings.max_price)
-    listings = cleaning.clean_listings(raw_listings, *bounds)
-    listings = clock.step("clean_listings", lambda: write_table(listings, f"{folder}/listings"))
+    judged = clock.step(
+        "clean_listings",
+        lambda: write_table(cleaning.judged_listings(raw_listings, *bounds), f"{folder}/listings"),
+    )
+    listings = cleaning.accepted_listings(judged)
 
     def audit() -> None:
         steps = cleaning.unique_reviews_audit(unique).unionByName(
-            cleaning.listings_audit(raw_listings, *bounds)
+            cleaning.judged_listings_audit(judged)
         )
         counted = write_table(steps, f"{folder}/cleaning_audit").collect()  # four rows
         record["input_rows"] = {
@@ -161,7 +175,7 @@ def _run_steps(
     customers = clock.step("segment", lambda: write_table(customers, f"{folder}/customers"))
 
     def roll_up() -> None:
-        write_table(areas.area_metrics(customers, settings.top_areas), f"{folder}/areas")
+        write_table(areas.area_metrics(customers), f"{folder}/areas")
         counts = segments.segment_counts(customers).collect()  # one row per segment
         record["segments"] = {row["segment"]: row["count"] for row in counts}
         record["output_rows"] = sum(record["segments"].values())

@@ -100,23 +100,23 @@ _ACTIONS = """
 actions(segment, channel, conv, basket, disc, cost, priority, expected_roi, offer, message) AS (
   VALUES
   ('Champions', 'Email VIP + Push Notification', 0.20, 1.20, 0.10, 0.002, 1, 'HIGH (4–6x)',
-   'Early access and perks, small discount (-10%)',
-   'Thank you for travelling with us: new homes are open to you first.'),
+   'First pick of new homes and a 10% guest discount',
+   'New places are on the list before anyone else sees them.'),
   ('Loyal', 'Email personnalisé + SMS', 0.15, 1.10, 0.12, 0.052, 1, 'HIGH (3–5x)',
-   'Reward for every friend referred, payment in instalments',
-   'Recommend us to a friend and both of you save on the next stay.'),
+   '12% off for regular guests',
+   'Regular guests pay less on the next booking.'),
   ('Potential', 'Email + Retargeting Display', 0.10, 1.00, 0.15, 0.022, 2, 'MEDIUM (2–4x)',
-   'Promotion code (-15%), no service fee on the second booking',
-   'Enjoyed your stay? Book again for less.'),
+   '15% off the next booking',
+   'Another stay costs less when booked this season.'),
   ('At Risk', 'Email Win-Back + SMS Urgent', 0.10, 0.95, 0.20, 0.052, 1, 'MEDIUM (2–3x)',
-   'Win-back offer (-20%) with free cancellation',
-   'It has been a while: come back at a lower price, cancel any time.'),
+   '20% off with flexible dates',
+   'Dates can be changed free of charge on your next trip.'),
   ('Hibernating', 'Email Automation + Display Remarketing', 0.07, 0.90, 0.25, 0.022, 2,
-   'LOW–MEDIUM (1.5–2.5x)', 'Reactivation (-25%) and a voucher',
-   'Rediscover the region with a voucher for your next stays.'),
+   'LOW–MEDIUM (1.5–2.5x)', '25% off any stay this year',
+   'Any home, any week of the year, at a quarter less.'),
   ('Lost', 'Email low-cost (bulk)', 0.03, 0.80, 0.10, 0.002, 3, 'LOW (<=1.5x)',
-   'Newsletter with seasonal offers (-10%)',
-   'See where to go this season, for a limited time at -10%.'))"""
+   '10% off seasonal picks',
+   'This season''s picks, chosen from every area.'))"""
 
 # What the lines of a run history are made of: order years.
 _RUNS = """
@@ -130,7 +130,8 @@ yearly AS (
 runs AS (
   SELECT run_id,
          run_id || '-12-31T00:00:00' AS timestamp,
-         CASE WHEN run_id IN ('1997', '2001') THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+         CASE WHEN run_id IN ('1997', '2001') THEN 'FAILED'
+              WHEN dated % 3 <> 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status,
          reviews / 16.0 AS total_duration_seconds,
          reviews / 20.0 AS load_seconds,
          reviews / 80.0 AS clean_seconds,
@@ -177,36 +178,56 @@ def _rules(tables: list[str], *rows: str) -> str:
 def _completeness(table: str, column: str, minimum: float, severity: str) -> str:
     return f"""SELECT 'completeness_check_{column}' AS rule_name,
        count({column}) / count(*) >= {minimum} AS passed, '{severity}' AS severity,
-       CAST(count({column}) / count(*) AS DOUBLE) AS metric_value FROM {table}"""
+       '{column} filled in at least {minimum:.1%} of rows' AS message,
+       CAST(count({column}) / count(*) AS DOUBLE) AS metric_value,
+       'completeness_{column}' AS metric_name FROM {table}"""
 
 
 def _uniqueness(table: str, column: str, maximum: float) -> str:
     distinct = f"(count(DISTINCT {column}) + max(CASE WHEN {column} IS NULL THEN 1 ELSE 0 END))"
     return f"""SELECT 'uniqueness_{column}' AS rule_name,
        (count(*) - {distinct}) / count(*) <= {maximum} AS passed, 'WARNING' AS severity,
-       CAST((count(*) - {distinct}) / count(*) AS DOUBLE) AS metric_value FROM {table}"""
+       '{column} repeated in at most {maximum:.1%} of rows' AS message,
+       CAST((count(*) - {distinct}) / count(*) AS DOUBLE) AS metric_value,
+       'duplicates_{column}_pct' AS metric_name FROM {table}"""
 
 
-def _range(table: str, column: str, inside: str, maximum: float) -> str:
+def _range(table: str, column: str, bounds: str, inside: str, maximum: float) -> str:
     outside = f"(count(*) - count(*) FILTER ({inside}))"
     return f"""SELECT 'range_{column}' AS rule_name,
        {outside} / count(*) <= {maximum} AS passed, 'WARNING' AS severity,
-       CAST({outside} / count(*) AS DOUBLE) AS metric_value FROM {table}"""
+       '{column} outside {bounds} in at most {maximum:.1%} of rows' AS message,
+       CAST({outside} / count(*) AS DOUBLE) AS metric_value,
+       'outliers_{column}_pct' AS metric_name FROM {table}"""
+
+
+def _fixed(
+    name: str,
+    passed: bool,
+    severity: str,
+    message: str,
+    metric: str = "CAST(NULL AS DOUBLE)",
+    metric_name: str = "CAST(NULL AS VARCHAR)",
+) -> str:
+    return f"""SELECT '{name}' AS rule_name, {str(passed).upper()} AS passed,
+       '{severity}' AS severity, '{message}' AS message, {metric} AS metric_value,
+       {metric_name} AS metric_name"""
 
 
-def _fixed(name: str, passed: bool, severity: str, metric: str = "CAST(NULL AS DOUBLE)") -> str:
-    return f"""SELECT '{name}' AS rule_name, {str(passed).upper()} AS passed,
-       '{severity}' AS severity, {metric} AS metric_value"""
+def _schema(passed: bool, columns: int) -> str:
+    return _fixed("schema_validation", passed, "ERROR", f"{columns} required columns")
 
 
-def _freshness(name: str, column: str, days: int) -> str:
+def _freshness(name: str, column: str, days: int, table: str = "lineitem") -> str:
     age = f"date_diff('day', max(CAST({column} AS DATE)), DATE '2001-12-01')"
     return f"""SELECT 'freshness_{name}' AS rule_name, {age} <= {days} AS passed,
-       'WARNING' AS severity, CAST({age} AS DOUBLE) AS metric_value FROM lineitem"""
+       'WARNING' AS severity, '{name} at most {days} days old' AS message,
+       CAST({age} AS DOUBLE) AS metric_value, 'freshness_{name}_days' AS metric_name
+       FROM {table}"""
 
 
 _REVIEW_RULES = (
-    _fixed("schema_validation", True, "ERROR"),
+    _schema(True, 3),
     _completeness("reviews", "listing_id", 1.0, "ERROR"),
     _completeness("reviews", "date", 0.95, "WARNING"),
     _uniqueness("reviews", "id", 0.001),
@@ -338,6 +359,13 @@ LEFT JOIN customer ON c_custkey = o_custkey
 LEFT JOIN nation ON n_nationkey = c_nationkey
 LEFT JOIN region ON r_regionkey = n_regionkey
 GROUP BY ALL"""),
+    "area_metrics": _of_customers("""
+SELECT favourite_neighbourhood,
+       CAST(sum(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+       CAST(sum(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) / count(monetary)
+         AS avg_customer_value,
+       count(*) AS customer_count
+FROM customers GROUP BY favourite_neighbourhood"""),
     "area_top20": _of_customers("""
 SELECT favourite_neighbourhood,
        CAST(sum(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
@@ -387,7 +415,9 @@ FROM (
            quantile_cont(monetary, [0.2, 0.4, 0.6, 0.8]) AS m
     FROM customers))"""),
     "segment_actions": _of_segments("""
-SELECT s.segment, customers, channel, offer, message, priority, expected_roi
+SELECT s.segment, customers, channel, offer, message, priority, expected_roi,
+       CAST(conv AS DOUBLE) AS conversion_rate, CAST(basket AS DOUBLE) AS basket_multiplier,
+       CAST(disc AS DOUBLE) AS discount_rate, CAST(cost AS DOUBLE) AS channels_cost_per_user
 FROM sizes s JOIN actions a ON a.segment = s.segment"""),
     "channel_cost": _of_segments("""
 SELECT s.segment, channel, customers, CAST(cost AS DOUBLE) AS cost_per_user,
@@ -435,9 +465,12 @@ FROM stays GROUP BY neighbourhood""",
     ),
     "dq_schema": _rules(
         _TO_REVIEWS,
-        _fixed("schema_validation", True, "ERROR"),
-        _fixed("schema_validation", False, "ERROR"),
-        _fixed("schema_validation", True, "ERROR", "CAST(2 AS DOUBLE)"),
+        _schema(True, 2),
+        _schema(False, 2),
+        _fixed(
+            "schema_validation", True, "ERROR", "2 required columns, extra columns counted",
+            "CAST(2 AS DOUBLE)", "'extra_columns'",
+        ),
         _completeness("reviews", "date", 0.9, "WARNING"),
     ),
     "dq_completeness": _rules(
@@ -452,31 +485,43 @@ FROM stays GROUP BY neighbourhood""",
     ),
     "dq_range": _rules(
         [],
-        _range("lineitem", "l_quantity", "l_quantity >= 1 AND l_quantity <= 45", 0.05),
-        _range("lineitem", "l_discount", "l_discount <= 0.1", 0.05),
-        _range("lineitem", "l_extendedprice", "l_extendedprice >= 5000", 0.01),
-        _fixed("range_l_tax", True, "WARNING", "CAST(0 AS DOUBLE)"),
+        _range("lineitem", "l_quantity", "[1, 45]", "l_quantity >= 1 AND l_quantity <= 45", 0.05),
+        _range("lineitem", "l_discount", "[None, 0.1]", "l_discount <= 0.1", 0.05),
+        _range("lineitem", "l_extendedprice", "[5000, None]", "l_extendedprice >= 5000", 0.01),
+        _fixed(
+            "range_l_tax", True, "WARNING", "l_tax outside [None, None] in at most 5.0% of rows",
+            "CAST(0 AS DOUBLE)", "'outliers_l_tax_pct'",
+        ),
+        _range(
+            "lineitem", "line_text", "[2, 20000]",
+            "l_quantity >= 30 AND l_linenumber BETWEEN 2 AND 20000", 0.05,
+        ),
     ),
     "dq_freshness": _rules(
-        [],
+        _TO_DATED,
         _freshness("stamp", "l_shipdate", 30),
         _freshness("day", "l_shipdate", 20),
         _freshness("text", "strftime(l_shipdate, '%Y-%m-%d')", 30),
+        _freshness("date", "date", 30, "dated"),
     ),
     "dq_custom_rule": _rules(
         [],
         """SELECT 'few_returns' AS rule_name,
        count(*) FILTER (l_returnflag = 'R') / count(*) <= 0.25 AS passed, 'WARNING' AS severity,
-       CAST(count(*) FILTER (l_returnflag = 'R') AS DOUBLE) AS metric_value FROM lineitem""",
-        _fixed("completeness_check_nowhere", False, "ERROR"),
+       'at most a quarter of the lines returned' AS message,
+       CAST(count(*) FILTER (l_returnflag = 'R') AS DOUBLE) AS metric_value,
+       'returns' AS metric_name FROM lineitem""",
+        _fixed(
+            "completeness_check_nowhere", False, "ERROR", "failed", metric_name="'completeness_nowhere'"
+        ),
     ),
     "dq_reviews_report": _rules(_TO_REVIEWS, *_REVIEW_RULES),
     "dq_listings_report": _rules(
         _TO_PRICED,
-        _fixed("schema_validation", True, "ERROR"),
+        _schema(True, 3),
         _completeness("priced", "id", 1.0, "ERROR"),
         _completeness("priced", "price", 0.8, "WARNING"),
-        _range("priced", "price_cleaned", _INSIDE_PRICE, 0.05),
+        _range("priced", "price_cleaned", "[10, 10000]", _INSIDE_PRICE, 0.05),
     ),
     "dq_clean_tables": _sql(
         [
@@ -487,7 +532,7 @@ FROM stays GROUP BY neighbourhood""",
         "SELECT *, 'reviews' AS table_name FROM ("
         + "\nUNION ALL\n".join(
             (
-                _fixed("schema_validation", True, "ERROR"),
+                _schema(True, 3),
                 _completeness("clean_reviews", "listing_id", 1.0, "ERROR"),
                 _completeness("clean_reviews", "date", 0.95, "WARNING"),
             )
@@ -495,10 +540,10 @@ FROM stays GROUP BY neighbourhood""",
         + ")\nUNION ALL\nSELECT *, 'listings' AS table_name FROM ("
         + "\nUNION ALL\n".join(
             (
-                _fixed("schema_validation", True, "ERROR"),
+                _schema(True, 3),
                 _completeness("clean_listings", "listing_id", 1.0, "ERROR"),
                 _completeness("clean_listings", "price_cleaned", 0.8, "WARNING"),
-                _range("clean_listings", "price_cleaned", _INSIDE_PRICE, 0.05),
+                _range("clean_listings", "price_cleaned", "[10, 10000]", _INSIDE_PRICE, 0.05),
                 _uniqueness("clean_listings", "listing_id", 0.0),
             )
         )
@@ -515,10 +560,10 @@ FROM ("""
         + "\nUNION ALL\n".join(
             (
                 *_REVIEW_RULES,
-                _fixed("schema_validation", True, "ERROR"),
+                _schema(True, 3),
                 _completeness("priced", "id", 1.0, "ERROR"),
                 _completeness("priced", "price", 0.8, "WARNING"),
-                _fixed("range_price_cleaned", False, "ERROR"),
+                _fixed("range_price_cleaned", False, "ERROR", "failed"),
             )
         )
         + ")",

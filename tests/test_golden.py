@@ -74,7 +74,7 @@ def test_totals(spark):
         F.round(F.sum("monetary"), 2), F.sum("frequency"), F.sum("recency")
     )
     assert {r[0]: tuple(r)[1:] for r in found.collect()} == TOTALS
-    top = areas.area_metrics(customers, 3).collect()
+    top = areas.top_areas(areas.area_metrics(customers), 3).collect()
     assert [
         (r["favourite_neighbourhood"], r["total_revenue"], round(r["avg_customer_value"], 2),
          r["customer_count"])

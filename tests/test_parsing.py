@@ -15,6 +15,7 @@ from stayvalue.operators.cleaning import (
     unique_reviews,
 )
 
+# The first five are fixed values.
 PRICES = [
     ("$1,200.50", 1200.5),
     ("$50.00", 50.0),

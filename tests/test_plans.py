@@ -6,6 +6,7 @@ import pytest
 from helpers import exchanges, final_plan
 from pyspark.sql import functions as F
 
+from stayvalue.functions.parsing import DATE_PREFIX
 from stayvalue.operators import cleaning, customers, segments, stays
 from stayvalue.plans import Settings, customer_table, stays_table
 from stayvalue.plans.queries import QUERIES
@@ -116,8 +117,24 @@ def test_value_spread_reads_the_tables_once(spark, sf_dir):
 
 def test_quintile_cuts_are_a_scalar(spark, sf_dir):
     df = customers.rfm_quintiles(table(spark, sf_dir))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "scalar-subquery" in plan or "Subquery" in plan
+    plan = final_plan(df)
+    assert "Subquery" in plan
+    assert plan.count("ReusedExchange") >= 1  # the customers are computed once, for both
+
+
+@pytest.mark.parametrize("name", ["dq_reviews_report", "dq_uniqueness", "dq_listings_report"])
+def test_a_quality_report_takes_one_scan(query_plans, name):
+    assert query_plans[name].count("FileScan") == 1
+
+
+def test_area_pricing_joins_the_stays_once(spark, sf_dir):
+    plan = final_plan(QUERIES["area_pricing"](spark, sf_dir))
+    assert plan.count("FileScan") == 2  # lineitem and part
+    assert len(re.findall(r"Join \[listing_id", plan)) == 1
+
+
+def test_dates_are_matched_once(query_plans):
+    assert query_plans["reviews_clean"].count(DATE_PREFIX) == 1
 
 
 def test_windows_run_on_reduced_frames_only(query_plans):

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stayvalue.operators.quantiles import exact_quantiles
 
@@ -11,12 +12,15 @@ QS = {"lowest": 0.0, "q1": 0.25, "median": 0.5, "p83": 0.83, "highest": 1.0}
 def check(spark, pairs):
     df = spark.createDataFrame(pairs, "g string, v double")
     out = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", QS).collect()}
-    groups = {g for g, v in pairs if v is not None}
+    groups = {g for g, v in pairs if v is not None and not np.isnan(v)}
     assert set(out) == groups
     for g in groups:
-        values = [v for k, v in pairs if k == g and v is not None]
+        values = sorted(v for k, v in pairs if k == g and v is not None and not np.isnan(v))
         for name, p in QS.items():
-            assert out[g][name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-9)
+            low, part = divmod((len(values) - 1) * p, 1)
+            a, b = values[int(low)], values[min(int(low) + 1, len(values) - 1)]
+            expected = a if part == 0 or a == b else a + (b - a) * part
+            assert out[g][name] == pytest.approx(expected, rel=1e-9, abs=1e-300, nan_ok=True)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -26,7 +30,8 @@ def check(spark, pairs):
             st.sampled_from(["a", "b", None]),
             st.one_of(
                 st.none(),
-                st.sampled_from([0.0, -1.5, 3.25, 1e12]),
+                st.sampled_from([0.0, -0.0, -1.5, 3.25, 1e12, 1e-12, -1e-12, 5e-324, 1e300]),
+                st.sampled_from([float("nan"), float("inf"), float("-inf")]),
                 st.floats(-1e9, 1e9, allow_nan=False),
             ),
         ),
@@ -56,3 +61,11 @@ def test_without_groups_and_on_integers(spark):
 def test_bounds(spark):
     with pytest.raises(ValueError, match="between 0 and 1"):
         exact_quantiles(spark.range(3), [], "id", {"m": 1.5})
+
+
+def test_small_values_spread_over_buckets(spark):
+    from stayvalue.operators.quantiles import _bucket
+
+    df = spark.range(1, 200_001).selectExpr("id / 2.0e8 as v")
+    assert df.select(_bucket(F.col("v")).alias("b")).distinct().count() > 5_000
+    assert exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"] == pytest.approx(100_000.5 / 2e8)

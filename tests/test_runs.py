@@ -1,4 +1,6 @@
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from stayvalue.operators import runs
 from stayvalue.plans import Settings, customer_table, run
@@ -92,9 +94,12 @@ def test_whole_run(spark, sf_dir, tmp_path):
     assert recorded["output_rows"] == customers.count() == sum(recorded["segments"].values())
     kept = spark.read.parquet(str(folder / "reviews")).filter("date is not null").count()
     listings = spark.read.parquet(str(folder / "listings")).count()
-    assert recorded["rows_filtered"] == 6200 - kept - listings
+    assert listings == 200
+    accepted = spark.read.parquet(str(folder / "listings")).filter("area_ok and price_ok").count()
+    assert recorded["rows_filtered"] == 6200 - kept - accepted
     assert spark.read.parquet(str(folder / "cleaning_audit")).count() == 4
-    assert 0 < spark.read.parquet(str(folder / "areas")).count() <= 20
+    areas = spark.read.parquet(str(folder / "areas"))
+    assert areas.count() == customers.select("favourite_neighbourhood").distinct().count()
     assert runs.read_runs(spark, str(tmp_path / "run_metrics")).count() == 1
     low, high = customers.selectExpr("min(recency)", "max(recency)").first()
     assert low >= 0 and high < 10000
@@ -118,6 +123,28 @@ def test_failed_run_is_recorded_and_raised(spark, sf_dir, tmp_path):
     with pytest.raises(Exception, match="price"):
         run(reviews, listings, str(tmp_path))
     row = runs.read_runs(spark, str(tmp_path / "run_metrics")).first()
-    assert row["status"] == "FAILED" and "price" in row["errors"][0]
+    assert row["status"] == "FAILED"
+    assert row["errors"][0].startswith("clean_listings: ") and "price" in row["errors"][0]
+    assert row["data_quality_passed"] is None
     assert {r["alert"] for r in runs.run_alerts(
         runs.read_runs(spark, str(tmp_path / "run_metrics"))).collect()} == {"PIPELINE FAILED"}
+
+
+def test_run_with_quality_errors_is_partial(spark, sf_dir, tmp_path):
+    reviews = parquet_tables.reviews(spark, sf_dir).withColumn(
+        "listing_id", F.when(F.col("reviewer_id") % 2 == 0, F.col("listing_id"))
+    )
+    recorded = run(reviews, parquet_tables.listings(spark, sf_dir), str(tmp_path)).first()
+    assert (recorded["status"], recorded["data_quality_passed"]) == ("PARTIAL", False)
+    assert recorded["data_quality_errors"] == 1 and recorded["output_rows"] > 0
+
+
+def test_failing_record_does_not_hide_the_error(spark, sf_dir, tmp_path, monkeypatch):
+    def refuse(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(runs, "append_runs", refuse)
+    listings = parquet_tables.listings(spark, sf_dir).drop("price")
+    with pytest.raises(AnalysisException, match="price") as caught:
+        run(parquet_tables.reviews(spark, sf_dir), listings, str(tmp_path))
+    assert "disk full" in caught.value.__notes__[0]

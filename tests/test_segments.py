@@ -1,4 +1,7 @@
+import hashlib
+
 import pytest
+from helpers import final_plan
 
 from stayvalue.operators import areas, customers, segments
 
@@ -80,9 +83,10 @@ def test_revenue_share_and_spread(table):
 
 
 def test_areas(table):
-    top = [tuple(r) for r in areas.area_metrics(table, 2).collect()]
+    metrics = areas.area_metrics(table)
+    top = [tuple(r) for r in areas.top_areas(metrics, 2).collect()]
     assert top == [("Anglet", 1200.5, 1200.5 / 3, 3), ("Bayonne", 920.0, 460.0, 2)]
-    shown = areas.top_areas(table).collect()
+    shown = areas.displayed_areas(metrics).collect()
     assert shown[2]["favourite_neighbourhood"] == "Béarn"
 
 
@@ -111,6 +115,28 @@ def test_sample_is_exact_and_repeatable(spark):
     other = {r[0] for r in customers.customer_sample(df, 100, seed=1).collect()}
     assert len(first) == 100 and first == again and first != other
     assert customers.customer_sample(df, 5000).count() == 1000
+    assert customers.customer_sample(df.limit(0), 5).count() == 0
+
+
+def test_sample_brings_few_rows_to_the_last_task(spark, tmp_path):
+    path = str(tmp_path / "customers")
+    spark.range(0, 200_000, 1, 40).withColumnRenamed("id", "reviewer_id").write.parquet(path)
+    df = customers.customer_sample(spark.read.parquet(path), 500)
+    chosen = {r[0] for r in df.collect()}
+    lots = sorted((hashlib.md5(f"{i}|42".encode()).hexdigest(), i) for i in range(200_000))
+    assert chosen == {i for _, i in lots[:500]}
+    cut = int(lots[499][0][: customers.SAMPLE_DIGITS], 16)
+    assert sum(int(h[: customers.SAMPLE_DIGITS], 16) <= cut for h, _ in lots) <= 1000
+    plan = final_plan(df)
+    top = plan.index("TakeOrderedAndProject")
+    assert "Subquery" in plan[top : plan.index("FileScan", top)]
+
+
+def test_every_area_is_kept(spark):
+    rows = [(i, 1, 1, float(i), f"area {i % 30}", "Lost") for i in range(300)]
+    df = spark.createDataFrame(rows, RFM + ", segment string")
+    assert areas.area_metrics(df).count() == 30
+    assert areas.top_areas(areas.area_metrics(df)).count() == 20
 
 
 def test_quintiles_never_split_equal_values(spark):

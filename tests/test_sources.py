@@ -1,6 +1,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from stayvalue.sources import csv_files, writers
 
@@ -78,3 +79,45 @@ def test_balanced_partitions_keep_all_rows(spark):
     df = spark.range(0, 5000, 1, 7).selectExpr("id", "id % 2 as k")
     assert balance_partitions(df).count() == 5000
     assert balance_partitions(df, "k").selectExpr("sum(id)").first()[0] == 5000 * 4999 // 2
+
+
+@pytest.mark.parametrize("columns", [(), ("k",)])
+def test_balanced_partitions_are_even(spark, conf, tmp_path, columns):
+    """One big and many small partitions, and a clustering value that most rows hold."""
+    from stayvalue.operators.layout import balance_partitions
+
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20k",
+         spark__sql__adaptive__coalescePartitions__minPartitionSize="1k",
+         spark__sql__shuffle__partitions="8")
+    key = "if(id % 10 < 8, 0, id) as k"
+    big = spark.range(0, 60_000, 1, 12).selectExpr("id", key)
+    small = spark.range(60_000, 60_400, 1, 20).selectExpr("id", key)
+    path = str(tmp_path / "balanced")
+    balance_partitions(big.unionAll(small), *columns).write.parquet(path)
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n"))
+    sizes = [r["n"] for r in files.collect()]
+    assert sum(sizes) == 60_400
+    assert len(sizes) >= 6
+    assert max(sizes) <= 60_400 / 4
+
+
+def test_scratch_needs_a_shared_folder(monkeypatch):
+    class Context:
+        def __init__(self, master, folder=None):
+            self.master, self.folder = master, folder
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        def __init__(self, context, folder=None):
+            self.sparkContext = context
+            self.conf = {"spark.checkpoint.dir": folder}
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            writers.shared_folder(Session(Context(master)))
+        assert writers.shared_folder(Session(Context(master, "hdfs://a/b/"))) == "hdfs://a/b"
+        assert writers.shared_folder(Session(Context(master), "hdfs://c")) == "hdfs://c"
+        assert writers.shared_folder(Session(Context(master), "hdfs://c"), "s3://d/") == "s3://d"
+    assert writers.shared_folder(Session(Context("local[4]")))
