@@ -37,7 +37,7 @@ SWITCH_PENALTY = 12.0
 CHUNK = 1 << 18
 UNKNOWN = "und"
 #: A document is rejected if its language labels a smaller share of its letters.
-MIN_SCORE = 0.5
+MIN_SCORE = 0.3
 
 #: First code points of the script ranges, with the script's number; 0 is other.
 SCRIPTS = (
