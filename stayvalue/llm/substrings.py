@@ -33,8 +33,10 @@ from pyspark.sql import types as T
 from stayvalue.llm.anchors import STRETCH, anchors, context_hash
 from stayvalue.llm.shared import store, utf8
 
-#: Different runs of one anchor up to which they are compared with each other.
-RUN_LIMIT = 256
+#: Different runs of one anchor up to which one task sorts them; they take some 8 MB.
+RUN_LIMIT = 20_000
+#: Runs up to which it is quicker to compare each with its neighbours than to number prefixes.
+PAIR_LIMIT = 12
 
 RUN_SCHEMA = "gram long, run long, place long, first long, last long"
 
@@ -159,7 +161,8 @@ def repeated_starts(tuples: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
     """(gram, run, from, to): how far before the anchor repeated stretches of a run begin.
 
     ``tuples`` are the suffix tuples of one anchor, sorted by their bytes to the right. Going along
-    the sorted neighbours, the common prefix with the suffix at hand is the least one passed.
+    the sorted neighbours, the common prefix with the suffix at hand is the least one passed. For
+    few runs: the time grows with the square of their number.
     """
     found: list[list[tuple[int, int]]] = [[] for _ in tuples]
     next_prefix = [
@@ -183,6 +186,36 @@ def repeated_starts(tuples: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
             yield item[0], item[1], low, high
 
 
+def repeated_starts_of_many(tuples: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
+    """The same in about linear time, for many runs.
+
+    Common prefixes of sorted neighbours number the distinct prefixes of any length: a new one begins
+    where the common prefix is shorter. A stretch is the pair of its left and right prefix.
+    """
+    rights = [t[2] for t in tuples]
+    lefts = [t[3] for t in tuples]
+    by_left = sorted(range(len(tuples)), key=lefts.__getitem__)
+    right_common = np.array([common_prefix(a, b) for a, b in zip(rights, rights[1:], strict=False)])
+    left_common = np.array(
+        [common_prefix(lefts[a], lefts[b]) for a, b in zip(by_left, by_left[1:], strict=False)]
+    )
+    nearest = np.array([t[4] for t in tuples])
+    farthest = np.array([t[5] for t in tuples])
+    left_number = np.zeros(len(tuples), dtype=np.int64)
+    found: list[list[tuple[int, int]]] = [[] for _ in tuples]
+    for e in range(int(nearest.min()), int(farthest.max()) + 1):
+        here = np.flatnonzero((nearest <= e) & (e <= farthest))
+        right_number = np.append(0, np.cumsum(right_common < STRETCH - e))
+        left_number[by_left] = np.append(0, np.cumsum(left_common < e))
+        stretch = right_number[here] * len(tuples) + left_number[here]
+        _, which, counts = np.unique(stretch, return_inverse=True, return_counts=True)
+        for k in here[counts[which] > 1]:
+            found[k].append((e, e))
+    for item, spans in zip(tuples, found, strict=True):
+        for low, high in merged(spans):
+            yield item[0], item[1], low, high
+
+
 def compared(tuples: DataFrame) -> DataFrame:
     """(gram, run, low, high) from the sorted suffix tuples of each anchor."""
 
@@ -203,7 +236,9 @@ def compared(tuples: DataFrame) -> DataFrame:
 
         for _, group in groupby(rows(), key=lambda row: row[0]):
             # Repeated rows of a document give their tuples once each; one is enough.
-            out.extend(repeated_starts(list({row[1]: row for row in group}.values())))
+            runs = list({row[1]: row for row in group}.values())
+            few = len(runs) <= PAIR_LIMIT
+            out.extend(repeated_starts(runs) if few else repeated_starts_of_many(runs))
             if len(out) > 50_000:
                 yield batch_of()
                 out.clear()

@@ -45,11 +45,12 @@ def awkward(rng):
     return texts
 
 
-@pytest.mark.parametrize("limit", [substrings.RUN_LIMIT, 1])
+@pytest.mark.parametrize(("limit", "pairs"), [(20_000, 12), (20_000, 1), (1, 12)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_against_counting(spark, documents, monkeypatch, seed, limit):
+def test_against_counting(spark, documents, monkeypatch, seed, limit, pairs):
     texts = awkward(random.Random(seed))
     monkeypatch.setattr(anchors, "CHUNK", 300)
+    monkeypatch.setattr(substrings, "PAIR_LIMIT", pairs)
     docs = documents(texts)
     found = substrings.remove_repeats(docs, limit)
     kept = {r.doc_id: r for r in found.collect()}
@@ -61,6 +62,21 @@ def test_against_counting(spark, documents, monkeypatch, seed, limit):
     assert sorted(rows, key=repr) == expected
 
 
+def test_numbering_equals_comparing():
+    rng = random.Random(5)
+    for _ in range(30):
+        tuples = []
+        for run in range(30):
+            near, far = sorted((rng.randrange(0, 137), rng.randrange(0, 137)))
+            right = bytes(rng.choices(b"ab", [30, 1], k=200 - near))
+            left = bytes(rng.choices(b"ab", [30, 1], k=far))
+            tuples.append((1, run, right, left, near, far))
+        tuples.sort(key=lambda t: t[2])
+        assert list(substrings.repeated_starts(tuples)) == list(
+            substrings.repeated_starts_of_many(tuples)
+        )
+
+
 def test_report_of_the_table(spark, read):
     docs = read("documents")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
