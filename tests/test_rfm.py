@@ -2,6 +2,7 @@ import collections
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from stayvalue.operators.rfm import favourite_area, rfm_metrics
@@ -66,7 +67,8 @@ def test_broadcast_only_within_the_checked_size(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     conf(spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     reviews = spark.createDataFrame([("1", 7)], "listing_id string, reviewer_id long")
-    listings = spark.createDataFrame([("1", 5.0)], "listing_id string, price_cleaned double")
+    # A frame whose size Catalyst knows; one made from Python rows counts as endless.
+    listings = spark.range(3).selectExpr("cast(id as string) as listing_id", "5.0d as price_cleaned")
     size = estimated_size(listings)
 
     def plan(limit):
@@ -76,6 +78,8 @@ def test_broadcast_only_within_the_checked_size(spark, conf):
     assert "BroadcastHashJoin" in plan(size)
     assert "SortMergeJoin" in plan(size - 1)
     assert "SortMergeJoin" in plan(None)
+    with pytest.raises(ValueError, match="too large"):
+        plan(1 << 33)
 
 
 def brute_force(rows, reference, nights):
