@@ -33,12 +33,12 @@ _LENGTH = re.compile(rb"(?i)\r\ncontent-length:[ \t]*([0-9]{1,18})[ \t]*\r\n")
 _LENGTH_SQL = r"(?i)\r\ncontent-length:[ \t]*([0-9]{1,18})[ \t]*\r\n"
 
 SEGMENT_SCHEMA = (
-    "file string, start long, pos long, length long, magic boolean, header binary, "
+    "file long, start long, pos long, length long, magic boolean, header binary, "
     "complete boolean, exact boolean, head binary, payload binary, raw binary"
 )
 _SEGMENT = pa.schema(
     [
-        ("file", pa.string()),
+        ("file", pa.int64()),
         ("start", pa.int64()),
         ("pos", pa.int64()),
         ("length", pa.int64()),
@@ -179,7 +179,8 @@ def segments(spark: SparkSession, path: str, content: bool) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path)
     return lines.select(
         F.col("value").cast("binary").alias("value"),
-        F.col("_metadata.file_path").alias("file"),
+        # A number in place of the path keeps the tables of offsets, and what is broadcast, small.
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
     ).mapInArrow(task, SEGMENT_SCHEMA)
 
@@ -301,13 +302,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     found = reachable(candidates)
     records = candidates.join(found, ["file", "offset"], "left_semi")
     ends = records.groupBy("file").agg(F.max("successor").alias("end"))
-    broken = (
+    broken = store(
         blocks.groupBy("file").agg(F.max("file_size").alias("file_size"))
         .join(ends, "file", "left")
-        .filter("end is null or end <> file_size")
+        .filter("end is null or end <> file_size"),
+        "warc-broken",
     )
     if not broken.isEmpty():
-        raise ValueError(f"the chain of records breaks in {broken.first()['file']}")
+        raise ValueError(f"the chain of records breaks in {broken.count()} files under {path}")
     # Few look-alikes are false, so leaving these out needs no shuffle of the payloads.
     false = index.filter("magic").select("file", "start", "pos").join(
         records.select("file", "start", "pos"), ["file", "start", "pos"], "left_anti"

@@ -40,13 +40,16 @@ def test_round_trip_of_odd_pages(spark):
 
 
 @pytest.mark.parametrize("size", ["700b", "1k", "5k"])
-def test_records_across_splits(spark, conf, size):
+def test_records_across_splits(spark, conf, tmp_path, size):
     """Splits end anywhere: in headers, payloads and look-alikes."""
     rows = [(i, f"http://a/{i}", (FALSE if i % 5 == 0 else "") + f"{i} " * (i * 7 % 900)) for i in range(60)]
     rows += [(i + 100, u, h) for i, u, h in ODD[:-1] if i is not None]
     pages = spark.createDataFrame(rows, PAGES).coalesce(1)
     conf(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="1b",
          spark__sql__files__minPartitionNum="1")
+    path = str(tmp_path / "w")
+    warc.write_warc(pages, path)
+    assert warc.segments(spark, path, False).select("start").distinct().count() > 5
     assert result(warc.round_trip(pages)) == plain(rows)
 
 
