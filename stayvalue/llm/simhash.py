@@ -33,6 +33,8 @@ BYTES = 8
 MIN_SHARED = BYTES - MAX_BITS
 #: Members above which a posting list is not expanded into pairs.
 LIST_LIMIT = 256
+#: Keys of removed documents up to this many are broadcast (16 bytes each, some 40 MB in memory).
+BROADCAST_KEYS = 500_000
 #: Shingles whose bits are counted at a time; only memory depends on it.
 CHUNK = 1 << 15
 
@@ -70,17 +72,26 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a long) of every document."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())])
+    """``doc_id``, a hash of the text, and ``fp`` (the 64 bits as a long) of every document."""
+    schema = T.StructType(
+        [
+            docs.schema["doc_id"],
+            T.StructField("text_hash", T.LongType()),
+            T.StructField("fp", T.LongType()),
+        ]
+    )
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text) for text in batch.column(1).to_pylist()]
+            found = [fingerprint(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64())], names=schema.names
+                [batch.column(0), batch.column(1), pa.array(found, pa.int64())],
+                names=schema.names,
             )
 
-    return docs.select("doc_id", utf8("text").alias("bytes")).mapInArrow(task, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8("text")).mapInArrow(
+        task, schema
+    )
 
 
 def _signed(value: int) -> int:
@@ -159,7 +170,7 @@ def links(fps: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
 
 
 def group(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` of every document.
+    """``doc_id``, ``text_hash``, ``fp`` and ``component_id`` of every document.
 
     NULL and empty texts share fingerprint 0 and are linked like any other. NULL ids are grouped but
     name no component unless there is no other id in it. Repeated rows come out repeatedly. Only
@@ -173,7 +184,7 @@ def group(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = store(rooted.join(named, "root").select("fp", "component_id"), "simhash-components")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -183,19 +194,48 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
+def removed_keys(groups: DataFrame) -> tuple[DataFrame, bool]:
+    """(doc_id, text_hash) of what goes, and whether something that stays is there repeatedly."""
+    keys = store(
+        groups.groupBy("doc_id", "text_hash").agg(
+            F.count("*").alias("n"), F.min("component_id").alias("component_id")
+        ),
+        "simhash-keys",
+    )
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    stays = (
+        keys.filter(own)
+        .groupBy(F.col("component_id").alias("stays_id"))
+        .agg(F.min(F.struct("text_hash", "n")).alias("stays"))
+    )
+    stays = store(stays.select("stays_id", "stays.*"), "simhash-stays")
+    gone = keys.join(
+        stays.withColumnRenamed("text_hash", "stays_hash").drop("n"),
+        keys["doc_id"].eqNullSafe(F.col("stays_id")) & (keys["text_hash"] == F.col("stays_hash")),
+        "left_anti",
+    ).select("doc_id", "text_hash")
+    return store(gone, "simhash-removed"), not stays.filter("n > 1").isEmpty()
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents without near-duplicates: of each group the smallest id stays, in one row.
 
-    Of several rows with that id one is kept, whichever it is. Columns may have any names besides.
+    Of several texts with that id in the group the one of the smallest hash stays. Columns may have
+    any names besides. What goes is less than what stays: up to ``BROADCAST_KEYS`` keys it is sent
+    to the texts, beyond that both are shuffled; the result is the same.
     """
-    first = free_name("component_id", docs.columns)
-    keepers = (
-        group(docs)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias(first))
-        .agg(F.count("*").alias("n"))
+    gone, repeated = removed_keys(group(docs))
+    key = free_name("text_hash", docs.columns)
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    kept = keyed.join(
+        gone,
+        keyed["doc_id"].eqNullSafe(F.col("gone_id")) & (keyed[key] == F.col("gone_hash")),
+        "left_anti",
     )
-    keepers = store(keepers, "simhash-keepers")
-    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers[first]), "left_semi")
-    # Unique ids, the usual case, need no second shuffle of the texts.
-    return kept if keepers.filter("n > 1").isEmpty() else kept.dropDuplicates(["doc_id"])
+    # Rows that repeat each other are rare, and only they need the texts to be shuffled.
+    if repeated:
+        kept = kept.dropDuplicates(["doc_id", key])
+    return kept.drop(key)

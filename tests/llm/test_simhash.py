@@ -90,7 +90,9 @@ def test_groups_against_brute_force(spark, read):
     assert {r.doc_id: r.fingerprint for r in found} == {i: f"{fp:016x}" for i, fp in fps.items()}
 
 
-def test_deduplication_keeps_one_of_each_group(spark, read):
+@pytest.mark.parametrize("limit", [simhash.BROADCAST_KEYS, 0])
+def test_deduplication_keeps_one_of_each_group(spark, read, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", limit)
     docs = read("documents")
     groups = {r.component_id for r in simhash.group(docs).collect()}
     kept = simhash.deduplicate(docs.unionAll(docs.limit(20)))
@@ -101,7 +103,7 @@ def test_deduplication_keeps_one_of_each_group(spark, read):
 def test_odd_rows(spark, documents):
     docs = documents([(1, None, None, None, None), (2, "", "en", "a", 0), (3, "a b", "en", "a", 3),
                       (3, "a b", "en", "a", 3), (None, "a b", "en", "a", 3), (None, "z", "en", "a", 1)])
-    docs = docs.withColumnRenamed("source", "component_id")
+    docs = docs.withColumnRenamed("source", "component_id").withColumnRenamed("lang", "text_hash")
     rows = simhash.group(docs).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [
         (-1, -1), (-1, 3), (1, 1), (2, 1), (3, 3), (3, 3),
@@ -109,3 +111,11 @@ def test_odd_rows(spark, documents):
     kept = simhash.deduplicate(docs)
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 3]
     assert simhash.group(docs.limit(0)).collect() == []
+    assert simhash.deduplicate(docs.limit(0)).collect() == []
+
+
+def test_one_id_with_texts_of_two_groups(spark, documents):
+    docs = documents([(3, "a b c d e", "en", "a", 1), (5, "a b c d e", "en", "a", 1),
+                      (5, "quite another text", "en", "a", 1), (5, "quite another text", "en", "a", 1)])
+    kept = simhash.deduplicate(docs).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, "a b c d e"), (5, "quite another text")]
