@@ -79,8 +79,14 @@ def runs_of(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(task, schema)
 
 
+def with_partners(runs: DataFrame) -> DataFrame:
+    """The runs whose anchor is found twice or more; the others, the most, take no part."""
+    grams = runs.groupBy("gram").agg(F.count("*").alias("places")).filter("places > 1")
+    return runs.join(store(grams.select("gram"), "substring-grams"), "gram", "left_semi")
+
+
 def named_runs(runs: DataFrame) -> DataFrame:
-    """(gram, run) with ``copies`` and the anchor's ``n_runs``, for anchors found twice or more."""
+    """(gram, run) with ``copies``, one of its places, and the anchor's number of runs."""
     named = store(
         runs.groupBy("gram", "run").agg(
             F.count("*").alias("copies"),
@@ -88,10 +94,7 @@ def named_runs(runs: DataFrame) -> DataFrame:
         ),
         "substring-named",
     )
-    grams = named.groupBy("gram").agg(
-        F.sum("copies").alias("places"), F.count("*").alias("n_runs")
-    )
-    return named.join(grams.filter("places > 1").drop("places"), "gram")
+    return named.join(named.groupBy("gram").agg(F.count("*").alias("n_runs")), "gram")
 
 
 def suffix_tuples(keyed: DataFrame, different: DataFrame) -> DataFrame:
@@ -288,7 +291,7 @@ def counted(tuples: DataFrame) -> DataFrame:
 
 def repeated_spans(keyed: DataFrame, run_limit: int = RUN_LIMIT) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``spans`` (start, end; end exclusive) of repeated bytes."""
-    runs = store(runs_of(keyed), "substring-runs")
+    runs = store(with_partners(store(runs_of(keyed), "substring-runs")), "substring-partners")
     named = store(named_runs(runs), "substring-repeated")
     whole = named.filter("copies > 1").select(
         "gram", "run", F.lit(0).alias("low"), F.lit(STRETCH).alias("high")
