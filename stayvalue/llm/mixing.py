@@ -50,12 +50,17 @@ def topic_of_initials(first: Column) -> Column:
     return picked
 
 
-def with_tokens_and_topic(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``tokens`` (words of the whole text, long) and ``topic`` (string)."""
+def with_tokens_and_topic(
+    docs: DataFrame, text: str = "text", tokens: str = "tokens", topic: str = "topic"
+) -> DataFrame:
+    """Add ``tokens`` (words of the whole text, long) and ``topic`` (string), under these names.
+
+    Columns that already have the names are replaced.
+    """
     name = free_name("initials", docs.columns)
-    first = docs.drop("tokens", "topic").withColumn(name, initials(F.col(text)))
+    first = docs.drop(tokens, topic).withColumn(name, initials(F.col(text)))
     return first.withColumns(
-        {"tokens": F.length(name).cast("long"), "topic": topic_of_initials(F.col(name))}
+        {tokens: F.length(name).cast("long"), topic: topic_of_initials(F.col(name))}
     ).drop(name)
 
 
@@ -64,12 +69,14 @@ def _key(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
 
 
-def cell_tokens(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS) -> DataFrame:
+def cell_tokens(
+    docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, tokens: str = "tokens"
+) -> DataFrame:
     """Token totals per cell, with keys ``k0``, ``k1``, ... for the dimensions."""
     keys = [_key(c).alias(f"k{i}") for i, c in enumerate(dimensions)]
     return (
         docs.groupBy(*keys)
-        .agg(F.sum("tokens").alias("cell_tokens"))
+        .agg(F.sum(tokens).alias("cell_tokens"))
         .filter(F.col("cell_tokens") > 0)
     )
 
@@ -145,31 +152,37 @@ def mix(
     rounds: int = ROUNDS,
     seed: str = SEED,
     identity: str = "doc_id",
+    tokens: str = "tokens",
+    probability: str = "keep_probability",
+    kept: str = "kept",
 ) -> DataFrame:
     """Add ``keep_probability`` (double) and ``kept`` (boolean) to documents with ``tokens``.
 
+    The last three parameters name these columns; columns that already have the names of the new ones
+    are replaced.
+
     NULL in a dimension is a value of its own. Documents without tokens carry no weight: their
     probability is 0. Rows with the same id get the same number, so repeated rows are kept or
     dropped together. An empty table stays empty. The kept documents are expected to hold ``share``
     of all tokens, divided by the target shares in every dimension (for reachable targets).
     """
-    cells = store(cell_tokens(docs, dimensions), "cells")
+    cells = store(cell_tokens(docs, dimensions, tokens), "cells")
     wanted = targets or flattened_targets(cells, dimensions, flatten)
     wanted = [store(target, f"target-{i}") for i, target in enumerate(wanted)]
     raked = rake(cells, wanted, share, rounds)
     keys = [f"k{i}" for i in range(len(dimensions))]
     rates = store(raked.select(*keys, F.col("rate").alias("cell_probability")), "rates")
-    columns = [c for c in docs.columns if c.lower() not in {"keep_probability", "kept"}]
+    columns = [c for c in docs.columns if c.lower() not in {probability.lower(), kept.lower()}]
     names = {name: free_name(name, docs.columns) for name in [*keys, "cell_probability"]}
     keyed = docs.withColumns({names[k]: _key(c) for k, c in zip(keys, dimensions, strict=True)})
     joined = keyed.join(rates.withColumnsRenamed(names), [names[k] for k in keys], "left")
     chance = F.when(
-        F.col("tokens") > 0, F.coalesce(F.col(names["cell_probability"]), F.lit(0.0))
+        F.col(tokens) > 0, F.coalesce(F.col(names["cell_probability"]), F.lit(0.0))
     ).otherwise(F.lit(0.0))
     return joined.select(
         *[F.col(f"`{c}`") for c in columns],
-        chance.alias("keep_probability"),
-        (uniform(F.col(identity), seed) < chance).alias("kept"),
+        chance.alias(probability),
+        (uniform(F.col(identity), seed) < chance).alias(kept),
     )
 
 

@@ -2,6 +2,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from stayvalue.llm import queries
 from stayvalue.llm.queries import ORACLE_SQL, QUERIES
@@ -48,3 +49,18 @@ def test_query_equals_sql(spark, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     assert sorted(df.columns) == sorted(names)
     assert sorted(repr([row[c] for c in sorted(names)]) for row in df.collect()) == expected
+
+
+def test_extra_columns_of_any_name(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    for name in ("tokens", "topic", "kept", "keep_probability", "text_hash", "lowered", "k0", "fp"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    docs = docs.cache()
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir).cache()
+        assert docs.columns == columns
+        assert docs.select("tokens", "kept", "k0", "fp").distinct().collect() == [
+            ("own tokens", "own kept", "own k0", "own fp")
+        ]
+    assert corpus_pipeline.packed(spark, docs, sf_dir).count() >= docs.count()
