@@ -170,7 +170,10 @@ def links(fps: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
 
 
 def group(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``fp`` and ``component_id`` of every document.
+    """``doc_id``, ``text_hash``, ``fp``, ``root`` and ``component_id`` of every document.
+
+    ``root`` is a fingerprint that identifies the component; ``component_id`` is only its smallest
+    id, which other components may have as well.
 
     NULL and empty texts share fingerprint 0 and are linked like any other. NULL ids are grouped but
     name no component unless there is no other id in it. Repeated rows come out repeatedly. Only
@@ -183,8 +186,8 @@ def group(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = store(rooted.join(named, "root").select("fp", "component_id"), "simhash-components")
-    return marked.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = store(rooted.join(named, "root").select("fp", "root", "component_id"), "simhash-components")
+    return marked.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -198,19 +201,21 @@ def removed_keys(groups: DataFrame) -> tuple[DataFrame, bool]:
     """(doc_id, text_hash) of what goes, and whether something that stays is there repeatedly."""
     keys = store(
         groups.groupBy("doc_id", "text_hash").agg(
-            F.count("*").alias("n"), F.min("component_id").alias("component_id")
+            F.count("*").alias("n"),
+            F.min("root").alias("root"),
+            F.min("component_id").alias("component_id"),
         ),
         "simhash-keys",
     )
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # Per root: one id may name several components, and NULL any number of them.
     stays = (
-        keys.filter(own)
-        .groupBy(F.col("component_id").alias("stays_id"))
-        .agg(F.min(F.struct("text_hash", "n")).alias("stays"))
+        keys.filter(own).groupBy("root").agg(F.min(F.struct("text_hash", "doc_id", "n")).alias("stays"))
     )
-    stays = store(stays.select("stays_id", "stays.*"), "simhash-stays")
+    stays = store(stays.select("stays.*"), "simhash-stays")
+    staying = stays.select(F.col("doc_id").alias("stays_id"), F.col("text_hash").alias("stays_hash"))
     gone = keys.join(
-        stays.withColumnRenamed("text_hash", "stays_hash").drop("n"),
+        staying,
         keys["doc_id"].eqNullSafe(F.col("stays_id")) & (keys["text_hash"] == F.col("stays_hash")),
         "left_anti",
     ).select("doc_id", "text_hash")
@@ -218,13 +223,18 @@ def removed_keys(groups: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The documents without near-duplicates: of each group the smallest id stays, in one row.
+    """The documents without near-duplicates: of each group the smallest id stays, in one row."""
+    return keep_one(docs, group(docs))
+
+
+def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row of each group: ``groups`` has ``doc_id``, ``text_hash``, ``root``, ``component_id``.
 
-    Of several texts with that id in the group the one of the smallest hash stays. Columns may have
-    any names besides. What goes is less than what stays: up to ``BROADCAST_KEYS`` keys it is sent
-    to the texts, beyond that both are shuffled; the result is the same.
+    Of several texts with the smallest id in the group the one of the smallest hash stays. Columns
+    may have any names besides. What goes is less than what stays: up to ``BROADCAST_KEYS`` keys it
+    is sent to the texts, beyond that both are shuffled; the result is the same.
     """
-    gone, repeated = removed_keys(group(docs))
+    gone, repeated = removed_keys(groups)
     key = free_name("text_hash", docs.columns)
     gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
     if gone.count() <= BROADCAST_KEYS:

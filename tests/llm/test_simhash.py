@@ -119,3 +119,14 @@ def test_one_id_with_texts_of_two_groups(spark, documents):
                       (5, "quite another text", "en", "a", 1), (5, "quite another text", "en", "a", 1)])
     kept = simhash.deduplicate(docs).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == [(3, "a b c d e"), (5, "quite another text")]
+
+
+def test_groups_of_equal_name_stay_apart(spark, documents):
+    """Two NULL ids with different texts, and one id with two unrelated texts: nothing goes."""
+    texts = ["first words of one text here", "something else entirely written there",
+             "a third thing about boats", "and the last one on mountains"]
+    rows = [(i, t, "en", "a", 1) for i, t in zip([None, None, 7, 7], texts, strict=True)]
+    kept = simhash.deduplicate(documents(rows + [(9, texts[2], "en", "a", 1)])).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted(
+        zip([0, 0, 7, 7], texts, strict=True)
+    )
