@@ -5,8 +5,9 @@ A term near an entity can disclose it although the entity itself is masked. How
 estimated from the whole corpus: with p(e) the share of all words that lie near entity e, and
 p(e|t) the share of term t's occurrences that do, the disclosure of e by t is
 log(p(e|t) / p(e)) / -log p(e): 0 for unrelated, 1 if t occurs near e alone. Terms above one threshold are
-generalised, above a higher one removed. A term must be seen near e in several *different*
-contexts, so that copies of one document are no evidence.
+generalised, above a higher one removed. Every pair is scored, also of an entity written once:
+p(e|t) is the lower confidence bound for what was counted, and equal contexts count once, so that
+copies of one document are no evidence.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +28,8 @@ from stayvalue.llm.shared import free_name, store
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on either side of an entity that count as near.
 NEAR = 6
-#: Different contexts in which a term must be seen near an entity.
-MIN_CONTEXTS = 3
+#: Standard errors of the lower bound for p(e|t); with one, n hits of n count as n / (n + 1).
+CONFIDENCE = 1.0
 GENERALISE_AT = 0.9
 REMOVE_AT = 0.97
 
@@ -204,6 +205,13 @@ def near_terms(found: DataFrame) -> DataFrame:
     ).select("doc_id", "text_hash", "near.entity", "near.context", F.explode("near.terms").alias("t"))
 
 
+def lower_bound(hits: Column, trials: Column) -> Column:
+    """The lower end of the Wilson interval for a share; a half for one hit of one."""
+    z2 = CONFIDENCE * CONFIDENCE
+    spread = CONFIDENCE * F.sqrt(hits * (trials - hits) / trials + F.lit(z2 / 4))
+    return (hits + F.lit(z2 / 2) - spread) / (trials + F.lit(z2))
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(entity, term, disclosure) for the terms at or above the lower threshold.
 
@@ -213,8 +221,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     near = near_terms(found)
     pairs = store(
         near.groupBy("entity", F.col("t.term").alias("term"))
-        .agg(F.count("*").alias("together"), F.count_distinct("context").alias("contexts"))
-        .filter(F.col("contexts") >= MIN_CONTEXTS),
+        .agg(F.count("*").alias("together"), F.count_distinct("context").alias("contexts")),
         "pii-pairs",
     )
     entities = near.groupBy("entity").agg(F.count("*").alias("near_words"))
@@ -225,7 +232,9 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("term"))
     # Counted before the join, so that common terms do not pass it once per occurrence.
     everywhere = words.groupBy("term").agg(F.count("*").alias("all")).join(wanted, "term")
-    share = F.least(F.lit(1.0), F.col("together") / F.col("all"))
+    # Occurrences in equal contexts near the entity are one trial, those elsewhere one each.
+    trials = F.col("contexts") + F.greatest(F.lit(0), F.col("all") - F.col("together"))
+    share = lower_bound(F.col("contexts").cast("double"), trials.cast("double"))
     prior = F.least(F.lit(1.0), F.col("near_words") / F.lit(float(total)))
     disclosure = F.try_divide(F.log(share / prior), -F.log(prior))
     return (

@@ -109,3 +109,15 @@ def test_odd_rows(spark, documents):
     ]
     assert pii.report(docs.limit(0)).collect() == []
     assert pii.sanitise(docs.limit(0)).collect() == []
+
+
+def test_term_of_an_entity_written_once(spark, documents):
+    """One address in one context: the words that occur only there disclose it, common ones do not."""
+    texts = ["call shadowfox the day joe@x.org of rest"]
+    texts += [f"common words of the day {i} and the rest of it " * 20 for i in range(2000)]
+    texts += ["unrelated the day kim@y.org of rest"]
+    docs = documents(texts)
+    row = pii.report(docs).filter("doc_id = 0").first()
+    spans = [s.split(":") for s in row.spans.split(",")]
+    assert {texts[0][int(a) : int(b)] for kind, a, b in spans if kind == "term"} == {"call", "shadowfox"}
+    assert pii.sanitise(docs).filter("doc_id = 0").first().text == "[WORD] [WORD] the day [EMAIL] of rest"
