@@ -7,7 +7,8 @@ p(e|t) the share of term t's occurrences that do, the disclosure of e by t is
 log(p(e|t) / p(e)) / -log p(e): 0 for unrelated, 1 if t occurs near e alone. Terms above one threshold are
 generalised, above a higher one removed. Every pair is scored, also of an entity written once:
 p(e|t) is the lower confidence bound for what was counted, and equal contexts count once, so that
-copies of one document are no evidence.
+copies of one document are no evidence. A term that discloses an entity is treated wherever it
+stands in the corpus, also where no entity is written.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +43,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W_]+")
+#: Bits of the filter for disclosing terms that every task gets (2 MB), and words a task remembers.
+FILTER_BITS = 1 << 24
+REMEMBERED = 1 << 18
+SEED = 42
 
 Span = tuple[str, int, int]
 
@@ -102,9 +108,8 @@ def _terms_before(text: str, end: int) -> list[tuple[str, int, int]]:
         reach *= 4
 
 
-def contexts(text: str, spans: list[Span]) -> list[dict]:
-    """For each entity its terms nearby (outside all entities), and a hash of that context."""
-    out = []
+def _touches(spans: list[Span]) -> Callable[[int, int], bool]:
+    """Whether a range has characters in common with one of the spans."""
     starts = [start for _, start, _ in spans]
     ends = list(accumulate((end for _, _, end in spans), max))
 
@@ -112,6 +117,13 @@ def contexts(text: str, spans: list[Span]) -> list[dict]:
         before = bisect_left(starts, end)
         return before > 0 and ends[before - 1] > start
 
+    return inside
+
+
+def contexts(text: str, spans: list[Span]) -> list[dict]:
+    """For each entity its terms nearby (outside all entities), and a hash of that context."""
+    out = []
+    inside = _touches(spans)
     for kind, start, end in spans:
         near = _terms_before(text, start)
         for match in _TERM.finditer(text, end):
@@ -245,12 +257,85 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def term_filter(terms: DataFrame) -> bytes:
+    """A bit for each hash of a term: other terms than these are recognised without a join."""
+    place = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
+    # A bitmap of the function has 4096 bytes.
+    rows = (
+        terms.groupBy(F.floor(place / F.lit(32768)).alias("bitmap"))
+        .agg(F.bitmap_construct_agg(F.pmod(place, F.lit(32768))).alias("bits"))
+        .collect()
+    )
+    out = bytearray(FILTER_BITS // 8)
+    for row in rows:
+        out[row.bitmap * 4096 : (row.bitmap + 1) * 4096] = row.bits
+    return bytes(out)
+
+
+def _in_filter(bits: bytes, term: str) -> bool:
+    place = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), SEED) % FILTER_BITS
+    return bool(bits[place // 8] >> place % 8 & 1)
+
+
+def occurrences(docs: DataFrame, bits: bytes) -> DataFrame:
+    """(doc_id, text_hash, term, start, end) of all terms that pass the filter, outside entities."""
+    schema = T.StructType(
+        [docs.schema["doc_id"], *T.StructType.fromDDL("text_hash long, term string, start int, end int").fields]
+    )
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, bool] = {}
+
+        def passes(word: str) -> bool:
+            found = known.get(word)
+            if found is None:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                found = known[word] = _in_filter(bits, word.lower())
+            return found
+
+        for batch in batches:
+            rows, words, starts, ends = [], [], [], []
+            for row, text in enumerate(batch.column(2).to_pylist()):
+                wanted = {word for word in set(_TERM.findall(text or "")) if passes(word)}
+                if not wanted:
+                    continue
+                inside = _touches(base_spans(text))
+                for match in _TERM.finditer(text):
+                    if match.group() in wanted and not inside(*match.span()):
+                        rows.append(row)
+                        words.append(match.group().lower())
+                        starts.append(match.start())
+                        ends.append(match.end())
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(at),
+                    batch.column(1).take(at),
+                    pa.array(words, pa.string()),
+                    pa.array(starts, pa.int32()),
+                    pa.array(ends, pa.int32()),
+                ],
+                names=schema.names,
+            )
+
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        task, schema
+    )
+
+
 def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Per document key the spans of disclosing terms; ``disclosure`` is the largest per span."""
-    terms = store(disclosing_terms(docs, found), "pii-disclosing")
-    hits = near_terms(found).withColumn("term", F.col("t.term")).join(terms, ["entity", "term"])
+    """Per document key the spans of disclosing terms, wherever they stand.
+
+    ``disclosure`` is the largest that the term has for any entity.
+    """
+    terms = store(
+        disclosing_terms(docs, found).groupBy("term").agg(F.max("disclosure").alias("disclosure")),
+        "pii-disclosing",
+    )
+    hits = occurrences(docs, term_filter(terms)).join(terms, "term")
     return (
-        hits.groupBy("doc_id", "text_hash", "t.start", "t.end")
+        hits.groupBy("doc_id", "text_hash", "start", "end")
         .agg(F.max("disclosure").alias("disclosure"))
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_list(F.struct("start", "end", "disclosure")).alias("term_spans"))

@@ -121,3 +121,26 @@ def test_term_of_an_entity_written_once(spark, documents):
     spans = [s.split(":") for s in row.spans.split(",")]
     assert {texts[0][int(a) : int(b)] for kind, a, b in spans if kind == "term"} == {"call", "shadowfox"}
     assert pii.sanitise(docs).filter("doc_id = 0").first().text == "[WORD] [WORD] the day [EMAIL] of rest"
+
+
+def test_disclosing_terms_far_from_the_entity(spark, documents):
+    """In the same document beyond the six words, and in a document without any entity."""
+    texts = [f"mx{i} Shadowfox a{i} joe@x.org b{i} c{i}" for i in range(12)]
+    texts += [f"common words of the day {i} and the rest of it " * 20 for i in range(900)]
+    texts += ["joe@x.org " + "and the rest of it " * 5 + "SHADOWFOX day", "Here is shadowfox, shadowfoxes the day"]
+    docs = documents(texts)
+    rows = {r.doc_id: r for r in pii.report(docs).collect()}
+    for i in (912, 913):
+        spans = [s.split(":") for s in rows[i].spans.split(",")]
+        words = {texts[i][int(a) : int(b)] for kind, a, b in spans if kind == "term"}
+        assert len({w for w in words if w.lower() == "shadowfox"}) == 1
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert all("shadowfox" not in clean[i].lower().replace("shadowfoxes", "") for i in (0, 912, 913))
+
+
+def test_filter_holds_the_terms(spark):
+    terms = [f"t{i}" for i in range(500)] + ["é", "名前"]
+    bits = pii.term_filter(spark.createDataFrame([(t,) for t in terms], "term string"))
+    assert all(pii._in_filter(bits, t) for t in terms)
+    assert sum(pii._in_filter(bits, f"u{i}") for i in range(500)) < 5
+    assert not any(pii.term_filter(spark.createDataFrame([], "term string")))
