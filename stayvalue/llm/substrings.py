@@ -1,4 +1,7 @@
-"""Removal of repeated byte strings: suffixes sorted by induction from anchors.
+"""Removal of repeated byte strings: runs around content-defined anchors, compared in groups.
+
+This stands in for external induced sorting of all suffixes with disk-backed queues; that method is
+not built.
 
 Wanted is every 200-byte stretch that starts at two places. Sorting all suffixes of the corpus tells,
 by the common prefixes of neighbours, but most suffixes cannot take part. As induced sorting does,
