@@ -2,12 +2,11 @@ import os
 import sys
 
 import pytest
+from helpers import TESTDATA
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-TESTDATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -1,7 +1,7 @@
 """Totals published in the survey, on its own projection of the tables (one review per order)."""
 
 import pytest
-from conftest import TESTDATA
+from helpers import TESTDATA
 from pyspark.sql import functions as F
 
 from stayvalue.operators import areas, cleaning, segments
