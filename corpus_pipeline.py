@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayvalue.llm import langid, mixing, neardup, packing, pii
+from stayvalue.llm import langid, mixing, packing, pii, simhash
 from stayvalue.llm.shared import free_name, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,11 +24,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays.
+    """Of each group linked by fingerprints the document with the smallest id stays.
 
-    Near are texts whose five-word shingles have a Jaccard similarity of 0.8 or more.
+    Shingle length and bit limit are those of the near-duplicate operator.
     """
-    return neardup.deduplicate(docs)
+    return simhash.deduplicate(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
