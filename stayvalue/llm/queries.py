@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stayvalue.llm import ann, html_text, langid, mixing, packing, pii, quality_llr, simhash, substrings, warc
+from stayvalue.llm import (
+    ann,
+    html_text,
+    langid,
+    mixing,
+    packing,
+    pieces,
+    pii,
+    quality_llr,
+    simhash,
+    substrings,
+    warc,
+)
 from stayvalue.llm.shared import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +106,13 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages, html_text.train(pages))
 
 
+@_query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, decoded, and compared with the library."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode(_table(spark, sf_dir, "documents"), model, with_ids=False)
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""

@@ -34,7 +34,7 @@ def test_stages(spark, sf_dir):
 def test_registered():
     assert set(QUERIES) <= set(contract.queries())
     assert set(ORACLE_SQL) <= set(contract.oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert {name.split("_")[0] for name in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
     assert queries.QUERIES is QUERIES
 
 
