@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from stayvalue.llm import (
     ann,
+    divergence,
     html_text,
     langid,
     mixing,
@@ -113,6 +114,12 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"), model, with_ids=False)
 
 
+@_query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are apart, and by which terms."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
@@ -133,6 +140,10 @@ select page_id, payload_bytes, payload_digest,
 from sums left join firsts using (payload_digest)
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op5_mixture": mixing.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op5_mixture": mixing.oracle_sql(),
+    "op6_warc": OP6_SQL,
+    "op13_source_divergence": divergence.oracle_sql(),
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,126 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stayvalue.llm import divergence
+from stayvalue.llm.divergence import gallop, price, shares
+
+
+def plain(rows, min_documents, top=divergence.TOP_TERMS):
+    """The audit by dictionaries, over all terms of a language."""
+    counts, docs, groups = {}, {}, {}
+    for _, text, lang, source, _ in rows:
+        lang, source = lang or "", source or ""
+        groups.setdefault(lang, set()).add(source)
+        found = divergence.TERM.findall(
+            "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        )
+        for term in found:
+            key = lang, source, term
+            counts[key] = counts.get(key, 0) + 1
+        for term in set(found):
+            docs[lang, term] = docs.get((lang, term), 0) + 1
+    out = []
+
+    def share(count, total, terms):
+        return 1 + 10**9 * (count + 5) // (total + 5 * terms)
+
+    for lang, sources in groups.items():
+        kept = sorted(t for (g, t), n in docs.items() if g == lang and n >= min_documents)
+        held = {s: [counts.get((lang, s, t), 0) for t in kept] for s in sources}
+        whole = [sum(held[s][i] for s in sources) for i in range(len(kept))]
+        p = {s: [share(n, sum(held[s]), len(kept)) for n in held[s]] for s in sources}
+        q = [share(n, sum(whole), len(kept)) for n in whole]
+        for s in sources:
+            pairs = [(-sum(abs(a - b) for a, b in zip(p[s], p[o])), o) for o in sources if o != s]
+            terms = [
+                (b - a, t) for t, n, a, b in zip(kept, held[s], p[s], q) if n and a > b
+            ]
+            for part, listed in (("pair", pairs), ("term", terms)):
+                listed.sort(key=lambda r: (r[0], r[1].encode()))
+                for rank, (value, item) in enumerate(listed, 1):
+                    if part == "pair" or rank <= top:
+                        out.append((lang, s, part, item, -value, rank))
+    return sorted(out)
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def corpus(size, seed=1):
+    chance = random.Random(seed)
+    words = ["Ab", "ab", "c", "dé", "É", "日本", "x1y", "longer", "w", "v", "u-t", "ß"]
+    rows = []
+    for i in range(size):
+        lang, source = chance.choice(["a", "a", "b", "", None]), chance.choice(["s", "t", "u", None, ""])
+        text = None if not i % 11 else " ".join(chance.choices(words, k=chance.randint(0, 12)))
+        rows.append((i, text, lang, source, 0))
+    return rows
+
+
+@pytest.mark.parametrize("block_terms", [divergence.BLOCK_TERMS, 2])
+def test_equals_plain_dictionaries(documents, block_terms):
+    rows = corpus(160) + [
+        (900, None, "lonely", "one", 0), (901, None, "lonely", "two", 0), (902, "zz", "c", "only", 0),
+        (903, "1 2 3", "a", "digits", 0), (903, "1 2 3", "a", "digits", 0),
+    ]
+    df = divergence.audit(documents(rows), min_documents=4, block_terms=block_terms)
+    assert df.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert found(df) == plain(rows, 4)
+
+
+def test_top_terms_and_ties(documents):
+    # All terms of a source have one share: ranks follow the item's UTF-8.
+    words = [f"t{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(60)] + ["é", "z", "日"]
+    rows = [(i, " ".join(words), "a", "s", 0) for i in range(3)]
+    rows += [(10 + i, " ".join(["other"] * 200), "a", "t", 0) for i in range(3)]
+    df = divergence.audit(documents(rows), min_documents=3, top_terms=7)
+    assert found(df) == plain(rows, 3, top=7)
+
+
+def test_columns_of_any_name(documents):
+    rows = corpus(60, seed=5)
+    docs = documents(rows)
+    for name in ("term", "count", "docs", "terms", "total", "a", "b", "block", "id", "value", "rank"):
+        docs = docs.withColumn(name, F.lit("own"))
+    assert found(divergence.audit(docs, min_documents=3)) == plain(rows, 3)
+
+
+def test_empty_table(documents):
+    assert divergence.audit(documents([(0, "x", "a", "s", 0)]).limit(0)).collect() == []
+
+
+def test_memory_bound_changes_nothing(documents, monkeypatch):
+    rows = corpus(80, seed=7)
+    monkeypatch.setattr(divergence, "GATHERED", 3)
+    assert found(divergence.audit(documents(rows), min_documents=3)) == plain(rows, 3)
+
+
+def test_gallop():
+    chance = np.random.default_rng(3)
+    for n, m in ((0, 5), (1, 10_000), (700, 30_000), (5000, 6000), (3000, 3000)):
+        a, b = (np.sort(chance.choice(40_000, size, replace=False)) for size in (n, m))
+        in_a, in_b = gallop(a, b)
+        assert (a[in_a] == b[in_b]).all()
+        assert a[in_a].tolist() == np.intersect1d(a, b).tolist()
+
+
+def test_shares_are_exact_beyond_64_bits():
+    for total, terms in ((0, 1), (10**15, 10**6), (10**17, 5), (8 * 10**15, 3)):
+        counts = [0, 1, total // 3, total]
+        expected = [1 + 10**9 * (c + 5) // (total + 5 * terms) for c in counts]
+        assert shares(np.array(counts, dtype=np.int64), total, terms).tolist() == expected
+
+
+def test_price_of_disjoint_sources():
+    one = np.array([1, 2]), np.array([3, 4]), 7
+    two = np.array([5]), np.array([6]), 6
+    distance, seen = price(one, two, 9)
+    p = lambda n, total: 1 + 10**9 * (n + 5) // (total + 45)
+    assert seen == 3
+    assert distance == (
+        abs(p(3, 7) - p(0, 6)) + abs(p(4, 7) - p(0, 6)) + abs(p(0, 7) - p(6, 6))
+    )
