@@ -22,6 +22,7 @@ from stayvalue.llm import (
     simhash,
     substrings,
     warc,
+    whitening,
 )
 from stayvalue.llm.shared import store
 
@@ -38,6 +39,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+
+
 @_query
 def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures, log-likelihood ratio and verdict of every document."""
@@ -96,8 +101,7 @@ def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every hundredth."""
-    vectors = _table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vec")
-    return ann.nearest(vectors.select("vec_id", "vec"))
+    return ann.nearest(_vectors(spark, sf_dir))
 
 
 @_query
@@ -114,6 +118,12 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"), model, with_ids=False)
 
 
+@_query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the whitened components."""
+    return whitening.whiten(_vectors(spark, sf_dir))
+
+
 @_query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of each language are apart, and by which terms."""

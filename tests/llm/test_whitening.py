@@ -1,0 +1,117 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stayvalue.llm import whitening
+from stayvalue.llm.queries import QUERIES
+
+
+def frame(spark, rows, partitions=3):
+    return spark.createDataFrame(rows, "vec_id long, vec array<double>").repartition(partitions)
+
+
+def random_rows(size, dimension, seed=1):
+    chance = np.random.default_rng(seed)
+    mixing = chance.normal(size=(dimension, dimension)) * np.linspace(1, 3, dimension)
+    values = chance.normal(size=(size, dimension)) @ mixing
+    return [(i, [float(v) for v in row]) for i, row in enumerate(values)]
+
+
+def plain(rows, components=whitening.COMPONENTS):
+    """The definition in numpy: ids, deviations, whitened rows up to sign, shares."""
+    x = np.floor(np.array([v for _, v in rows]) * 64).astype(np.int64) + 1_000_000
+    n, sums = len(x), x.sum(axis=0)
+    deviation = [sum(int(v) ** 2 for v in row) for row in x * n - sums]
+    y = x - sums / n
+    values, vectors = np.linalg.eigh(y.T @ y / n)
+    order = np.argsort(values)[::-1][:components]
+    return deviation, y @ vectors[:, order] / np.sqrt(np.abs(values[order])), values[order] / values.sum()
+
+
+def check(found, rows, components):
+    deviation, z, shares = plain(rows, components)
+    k = z.shape[1]
+    by_key = {(r.vec_id, r.component): r for r in found}
+    assert len(found) == len(by_key) == len(rows) * k
+    got = np.array([[by_key[i, c + 1].whitened for c in range(k)] for i, _ in rows])
+    signs = np.sign((got * z).sum(axis=0))
+    assert np.abs(got - z * signs).max() < 1e-7
+    for c in range(k):
+        assert by_key[rows[0][0], c + 1].explained == pytest.approx(shares[c], rel=1e-9)
+    for (i, _), expected in zip(rows, deviation):
+        assert by_key[i, 1].deviation == expected
+    assert {r.n for r in found} == {len(rows)}
+    assert len({r.identity_error for r in found}) == 1
+    centred = got - got.mean(axis=0)
+    own = np.abs(centred.T @ centred / len(rows) - np.eye(k)).max()
+    assert found[0].identity_error == pytest.approx(own, abs=1e-11)
+    assert found[0].identity_error < 1e-9
+
+
+@pytest.mark.parametrize("matrix_blocks, columns", [(whitening.MATRIX_BLOCKS, 1024), (2, 3)])
+def test_equals_numpy(spark, monkeypatch, matrix_blocks, columns):
+    # The second case takes several matrices, of several columns of blocks each.
+    monkeypatch.setattr(whitening, "MATRIX_BLOCKS", matrix_blocks)
+    monkeypatch.setattr(whitening, "BLOCK_COLUMNS", columns)
+    rows = random_rows(1100, 7)
+    check(whitening.whiten(frame(spark, rows), components=4).collect(), rows, 4)
+
+
+def test_odd_rows(spark):
+    rows = random_rows(60, 4, seed=2)
+    rows += [(100, [0.0] * 4), (101, rows[0][1]), (101, rows[0][1])]
+    odd = [
+        (200, None), (201, []), (202, [1.0, None, 2.0, 3.0]), (203, [float("nan"), 0.0, 0.0, 0.0]),
+        (204, [float("-inf"), 0.0, 0.0, 0.0]), (205, [1e300, 0.0, 0.0, 0.0]), (206, [1.0, 2.0]),
+    ]
+    found = whitening.whiten(frame(spark, rows + odd)).collect()
+    assert {r.vec_id for r in found} == {i for i, _ in rows}
+    # Of the repeated row both come out, equal.
+    twice = sorted((r.component, r.whitened) for r in found if r.vec_id == 101)
+    assert len(twice) == 8 and twice[::2] == twice[1::2]
+    deviation, z, _ = plain(rows)
+    assert found[0].n == len(rows)
+    assert {r.deviation for r in found} == set(deviation)
+
+
+def test_null_ids_and_other_columns(spark):
+    rows = random_rows(40, 3, seed=3)
+    vectors = frame(spark, [(None, rows[0][1]), *rows[1:]])
+    for name in ("x", "y", "z", "index", "place", "part", "n", "offset", "deviation", "component"):
+        vectors = vectors.withColumn(name, F.lit("own"))
+    found = whitening.whiten(vectors).collect()
+    assert len(found) == 40 * 3
+    assert sum(r.vec_id is None for r in found) == 3
+
+
+def test_directions_without_spread_have_no_component(spark):
+    flat = [(i, [float(i % 5), 2.0 * (i % 5), 7.0]) for i in range(50)]
+    found = whitening.whiten(frame(spark, flat)).collect()
+    assert {r.component for r in found} == {1}
+    assert found[0].explained == pytest.approx(1.0)
+    assert whitening.whiten(frame(spark, [(1, [1.0, 2.0])] * 3)).collect() == []
+
+
+def test_large_values_stay_exact(spark):
+    rows = [(i, [float(i * 2**25), float(i % 3), -float(i)]) for i in range(50)]
+    found = {r.vec_id: r.deviation for r in whitening.whiten(frame(spark, rows)).collect()}
+    expected = plain(rows)[0]
+    assert [found[i] for i, _ in rows] == [v if v < 2**63 else None for v in expected]
+    assert None in found.values() or max(expected) < 2**63
+
+
+def test_empty_table(spark):
+    empty = whitening.whiten(frame(spark, [(1, [1.0])]).limit(0))
+    assert empty.columns == [
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error",
+    ]
+    assert empty.collect() == []
+
+
+def test_query_equals_numpy(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    rows = [
+        (r.vec_id, list(r.embedding)) for r in table
+        if r.embedding and all(v is not None and np.isfinite(v) for v in r.embedding)
+    ]
+    check(QUERIES["op12_whitening"](spark, sf_dir).collect(), rows, 32)
