@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,7 +83,15 @@ def clean_listings(
     )
 
 
-def _audit_rows(table: str, steps: list[tuple[str, str, str]]) -> Column:
+#: The cleaning steps: name, count before, count after.
+REVIEW_STEPS = (("duplicates", "raw", "unique"), ("dates", "unique", "dated"))
+LISTING_STEPS = (("areas", "raw", "placed"), ("prices", "placed", "priced"))
+AUDIT_SCHEMA = (
+    "table_name string, step_no int, step string, rows_before long, rows_after long, rows_removed long"
+)
+
+
+def _audit_rows(table: str, steps: Sequence[tuple[str, str, str]]) -> Column:
     """Array of audit rows; each step is (name, column before, column after)."""
     return F.array(
         *(
@@ -112,15 +122,19 @@ def unique_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
+def unique_reviews_counts() -> dict[str, Column]:
+    """Aggregates over :func:`unique_reviews`: the counts its audit is made of."""
+    return {
+        "raw": F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint"),
+        "unique": F.count("*"),
+        "dated": F.count("date"),
+    }
+
+
 def unique_reviews_audit(unique: DataFrame) -> DataFrame:
     """Rows before, after and removed per review cleaning step, from :func:`unique_reviews`."""
-    totals = unique.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("raw"),
-        F.count("*").alias("unique"),
-        F.count("date").alias("dated"),
-    )
-    steps = [("duplicates", "raw", "unique"), ("dates", "unique", "dated")]
-    return totals.select(F.inline(_audit_rows("reviews", steps)))
+    totals = unique.agg(*(count.alias(name) for name, count in unique_reviews_counts().items()))
+    return totals.select(F.inline(_audit_rows("reviews", REVIEW_STEPS)))
 
 
 def judged_listings(
@@ -148,15 +162,19 @@ def accepted_listings(judged: DataFrame) -> DataFrame:
     )
 
 
+def judged_listings_counts() -> dict[str, Column]:
+    """Aggregates over :func:`judged_listings`: the counts its audit is made of."""
+    return {
+        "raw": F.count("*"),
+        "placed": F.count_if(F.col("area_ok")),
+        "priced": F.count_if(F.col("area_ok") & F.col("price_ok")),
+    }
+
+
 def judged_listings_audit(judged: DataFrame) -> DataFrame:
     """Rows before, after and removed per listing cleaning step, from :func:`judged_listings`."""
-    totals = judged.agg(
-        F.count("*").alias("raw"),
-        F.count_if(F.col("area_ok")).alias("placed"),
-        F.count_if(F.col("area_ok") & F.col("price_ok")).alias("priced"),
-    )
-    steps = [("areas", "raw", "placed"), ("prices", "placed", "priced")]
-    return totals.select(F.inline(_audit_rows("listings", steps)))
+    totals = judged.agg(*(count.alias(name) for name, count in judged_listings_counts().items()))
+    return totals.select(F.inline(_audit_rows("listings", LISTING_STEPS)))
 
 
 def cleaning_audit(reviews: DataFrame, listings: DataFrame) -> DataFrame:

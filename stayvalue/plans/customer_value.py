@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stayvalue.operators import areas, cleaning, quality, rfm, runs, segments, stays
+from stayvalue.plans.steps import FINGERPRINT, Steps, rows_fingerprint
 from stayvalue.sources.writers import write_table
 
 
@@ -49,24 +49,12 @@ def _customers(stay_rows: DataFrame, settings: Settings) -> DataFrame:
     return segments.segment_customers(metrics, settings.rules)
 
 
-@dataclass
-class _Clock:
-    """Seconds per step, and the step that ended last."""
-
-    started: float = field(default_factory=time.monotonic)
-    stages: dict[str, float] = field(default_factory=dict)
-    last: str = "prepare"
-
-    def step(self, name: str, work: Callable):
-        begin = time.monotonic()
-        try:
-            return work()
-        finally:
-            self.stages[name] = time.monotonic() - begin
-            self.last = name
-
-    def total(self) -> float:
-        return time.monotonic() - self.started
+def _fingerprint(raw_reviews: DataFrame, raw_listings: DataFrame, settings: Settings) -> str:
+    return rows_fingerprint(
+        (raw_reviews, cleaning.REVIEW_KEY),
+        (raw_listings, ("id", "price", "neighbourhood_cleansed")),
+        parameters=repr(settings),
+    )
 
 
 def run(
@@ -74,6 +62,9 @@ def run(
     raw_listings: DataFrame,
     output_dir: str,
     settings: Settings = Settings(),
+    *,
+    resumable: bool = False,
+    resume: str | None = None,
 ) -> DataFrame:
     """Perform the analysis, write its tables under ``output_dir`` and return the run's row.
 
@@ -81,17 +72,31 @@ def run(
     ``price_ok``), ``cleaning_audit``, ``customers`` and ``areas`` (all of them); the run itself is
     appended to ``run_metrics``. Each raw table is read once, and
     every later step starts from a written table: a lost executor costs tasks, not the whole
-    lineage. Counts are taken from the written tables; unlike accumulators they do not drift
-    when a stage is repeated. The status is ``PARTIAL`` if a quality rule of severity ERROR failed.
+    lineage. Counts and rules are measured by the write of the table they are about, in the stage that
+    writes, where Spark counts each task once even if a stage is repeated; only uniqueness is checked on
+    the written listings. The status is ``PARTIAL`` if a quality rule of severity ERROR failed.
     A failed run is recorded too, with ``step: message``, and its exception raised even if the
     record cannot be written; the quality outcome of a run that was never checked is NULL.
+
+    A ``resumable`` run leaves a marker of each finished step and a fingerprint of its inputs and
+    settings, which takes one more pass over the raw columns. ``resume`` names such a run: if the
+    fingerprint is the same, finished steps are not repeated, and the record has that run's id once
+    more. If anything has changed, or there is no such run, a new run begins.
     """
     spark = raw_reviews.sparkSession
     started = dt.datetime.now(dt.timezone.utc)
-    clock = _Clock()
     # Appending to an earlier run's folder would mix results, hence a folder per run.
     run_id = started.strftime("%Y%m%d_%H%M%S_%f")
-    folder = f"{output_dir.rstrip('/')}/{run_id}"
+    output_dir = output_dir.rstrip("/")
+    keep = resumable or resume is not None
+    fingerprint = _fingerprint(raw_reviews, raw_listings, settings) if keep else None
+    if resume is not None:
+        begun = Steps(spark, f"{output_dir}/{resume}", keep).committed(FINGERPRINT)
+        if begun is not None and begun["inputs"] == fingerprint:
+            run_id = resume
+    steps = Steps(spark, f"{output_dir}/{run_id}", keep)
+    if keep and run_id != resume:
+        steps.commit(FINGERPRINT, {"inputs": fingerprint})
     record = {
         "run_id": run_id,
         "timestamp": started.isoformat(),
@@ -107,18 +112,18 @@ def run(
     }
 
     def append() -> DataFrame:
-        record["stage_durations"] = clock.stages
-        record["total_duration_seconds"] = clock.total()
+        record["stage_durations"] = steps.seconds
+        record["total_duration_seconds"] = steps.total()
         row = tuple(record[name] for name in runs.RUN_SCHEMA.names)
         recorded = spark.createDataFrame([row], runs.RUN_SCHEMA)
-        runs.append_runs(recorded, f"{output_dir.rstrip('/')}/run_metrics")
+        runs.append_runs(recorded, f"{output_dir}/run_metrics")
         return recorded
 
     try:
-        _run_steps(raw_reviews, raw_listings, folder, settings, clock, record)
+        _run_steps(raw_reviews, raw_listings, f"{output_dir}/{run_id}", settings, steps, record)
     except Exception as error:
         record["status"] = "FAILED"
-        record["errors"] = [f"{clock.last}: {error}"]
+        record["errors"] = [f"{steps.last}: {error}"]
         try:
             append()
         except Exception as second:
@@ -133,51 +138,86 @@ def _run_steps(
     raw_listings: DataFrame,
     folder: str,
     settings: Settings,
-    clock: _Clock,
+    steps: Steps,
     record: dict,
 ) -> None:
+    # What an interrupted attempt has left of a step is replaced.
+    def write(df: DataFrame, name: str) -> DataFrame:
+        return write_table(df, f"{folder}/{name}", mode="overwrite")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     unique = cleaning.unique_reviews(raw_reviews)
-    unique = clock.step("clean_reviews", lambda: write_table(unique, f"{folder}/reviews"))
-    reviews = unique.filter(F.col("date").isNotNull()).select(*cleaning.REVIEW_KEY)
 
-    bounds = (settings.min_price, settings.max_price)
-    judged = clock.step(
-        "clean_listings",
-        lambda: write_table(cleaning.judged_listings(raw_listings, *bounds), f"{folder}/listings"),
-    )
-    listings = cleaning.accepted_listings(judged)
-
-    def audit() -> None:
-        steps = cleaning.unique_reviews_audit(unique).unionByName(
-            cleaning.judged_listings_audit(judged)
-        )
-        counted = write_table(steps, f"{folder}/cleaning_audit").collect()  # four rows
-        record["input_rows"] = {
-            row["table_name"]: row["rows_before"] for row in counted if row["step_no"] == 1
+    def clean_reviews() -> dict:
+        observed = quality.clean_reviews_checker().observe(unique, F.col("date").isNotNull())
+        observed.counting(**cleaning.unique_reviews_counts())
+        table = write(observed.df, "reviews")
+        return _measured(observed, table.filter("date is not null"), cleaning.REVIEW_STEPS)
+
+    reviews_figures = steps.step("clean_reviews", clean_reviews)
+    reviews = written(unique, "reviews").filter(F.col("date").isNotNull()).select(*cleaning.REVIEW_KEY)
+
+    def clean_listings() -> dict:
+        judged = cleaning.judged_listings(raw_listings, settings.min_price, settings.max_price)
+        observed = quality.clean_listings_checker().observe(judged, F.expr("area_ok and price_ok"))
+        observed.counting(**cleaning.judged_listings_counts())
+        table = write(observed.df, "listings")
+        return _measured(observed, cleaning.accepted_listings(table), cleaning.LISTING_STEPS)
+
+    listings_figures = steps.step("clean_listings", clean_listings)
+    judged = cleaning.judged_listings(raw_listings, settings.min_price, settings.max_price)
+    listings = cleaning.accepted_listings(written(judged, "listings"))
+    figures = {"reviews": reviews_figures, "listings": listings_figures}
+
+    def audit() -> dict:
+        rows = [
+            (table, number, name, counts[before], counts[after], counts[before] - counts[after])
+            for table, audited in (("reviews", cleaning.REVIEW_STEPS), ("listings", cleaning.LISTING_STEPS))
+            for counts in (figures[table]["counts"],)
+            for number, (name, before, after) in enumerate(audited, start=1)
+        ]
+        write(raw_reviews.sparkSession.createDataFrame(rows, cleaning.AUDIT_SCHEMA), "cleaning_audit")
+        return {
+            "input_rows": {row[0]: row[3] for row in rows if row[1] == 1},
+            "rows_filtered": sum(row[5] for row in rows),
         }
-        record["rows_filtered"] = sum(row["rows_removed"] for row in counted)
-
-    clock.step("audit", audit)
 
-    def check() -> None:
-        totals = quality.quality_totals(
-            quality.clean_reviews_checker().report(reviews),
-            quality.clean_listings_checker().report(listings),
-        ).first()
-        record["data_quality_passed"] = totals["passed"]
-        record["data_quality_warnings"] = totals["warnings"]
-        record["data_quality_errors"] = totals["errors"]
+    record.update(steps.step("audit", audit))
 
-    clock.step("check_quality", check)
+    def check() -> dict:
+        failed = [severity for table in figures.values() for severity in table["failed"]]
+        return {
+            "data_quality_passed": quality.ERROR not in failed,
+            "data_quality_warnings": failed.count(quality.WARNING),
+            "data_quality_errors": failed.count(quality.ERROR),
+        }
 
+    record.update(steps.step("check_quality", check))
     stay_rows = stays.join_stays(reviews, listings, settings.broadcast_max_bytes)
     customers = _customers(stay_rows, settings)
-    customers = clock.step("segment", lambda: write_table(customers, f"{folder}/customers"))
 
-    def roll_up() -> None:
-        write_table(areas.area_metrics(customers), f"{folder}/areas")
-        counts = segments.segment_counts(customers).collect()  # one row per segment
-        record["segments"] = {row["segment"]: row["count"] for row in counts}
-        record["output_rows"] = sum(record["segments"].values())
+    def segment() -> dict:
+        names = dict.fromkeys([*(rule.segment for rule in settings.rules), segments.NO_RULE_SEGMENT])
+        observation = Observation()
+        members = [F.count_if(F.col("segment") == n).alias(f"segment_{i}") for i, n in enumerate(names)]
+        write(customers.observe(observation, F.count("*").alias("customers"), *members), "customers")
+        counts = observation.get
+        present = {n: counts[f"segment_{i}"] for i, n in enumerate(names) if counts[f"segment_{i}"]}
+        return {"segments": present, "output_rows": counts["customers"]}
+
+    record.update(steps.step("segment", segment))
+
+    def roll_up() -> dict:
+        write(areas.area_metrics(written(customers, "customers")), "areas")
+        return {}
+
+    steps.step("roll_up", roll_up)
+
 
-    clock.step("roll_up", roll_up)
+def _measured(observed: quality.Observed, rows: DataFrame, audited: Sequence[tuple]) -> dict:
+    """Counts of the cleaning steps, and the severities of the rules that failed."""
+    names = {name for step in audited for name in step[1:]}
+    failed = [result.severity for result in observed.results(rows) if not result.passed]
+    return {"counts": {name: observed.counts[name] or 0 for name in names}, "failed": failed}
