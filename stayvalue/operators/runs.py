@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 SLOW_SECONDS = 300.0
 MAX_FILTERED_PCT = 20.0
 
+#: Runs that a run is compared with, and how far it may lie above their medians.
+DEVIATION_SPAN = 5
+MAX_RATIO = 1.5
+MAX_EXCESS_PCT = 5.0
+
 RUN_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -100,6 +105,46 @@ def run_shares(runs: DataFrame) -> DataFrame:
     )
 
 
+def run_deviations(
+    runs: DataFrame,
+    span: int = DEVIATION_SPAN,
+    max_ratio: float = MAX_RATIO,
+    max_excess_pct: float = MAX_EXCESS_PCT,
+) -> DataFrame:
+    """Every run against the median of the last ``span`` runs before it that did not fail.
+
+    ``usual_seconds`` and ``usual_filtered_pct`` are those medians, NULL without such a run;
+    ``deviates`` if the run took more than ``max_ratio`` times as long, or filtered more than
+    ``max_excess_pct`` points more. Runs are ordered by timestamp, then id: one row per run, a table
+    that grows by runs and not by data.
+    """
+    before = Window.orderBy("timestamp", "run_id").rowsBetween(-span, -1)
+    measured = runs.select(
+        "run_id",
+        "timestamp",
+        F.col("status") != "FAILED",
+        F.col("total_duration_seconds").alias("seconds"),
+        filtered_pct(runs).alias("pct"),
+    ).toDF("run_id", "timestamp", "fine", "seconds", "pct")
+
+    def usual(measure: str) -> Column:
+        return F.percentile(F.when(F.col("fine"), F.col(measure)), 0.5).over(before)
+
+    ratio = F.try_divide(F.col("seconds"), F.col("usual_seconds"))
+    excess = F.col("pct") - F.col("usual_pct")
+    return (
+        measured.select("*", usual("seconds").alias("usual_seconds"), usual("pct").alias("usual_pct"))
+        .select(
+            "run_id",
+            F.round("seconds", 4).alias("seconds"),
+            F.round("usual_seconds", 4).alias("usual_seconds"),
+            F.round("pct", 4).alias("filtered_pct"),
+            F.round("usual_pct", 4).alias("usual_filtered_pct"),
+            F.coalesce((ratio > max_ratio) | (excess > max_excess_pct), F.lit(False)).alias("deviates"),
+        )
+    )
+
+
 def append_runs(runs: DataFrame, path: str) -> None:
     """Add runs to the JSON history at ``path``; each append is new files, none is rewritten."""
     runs.select(*RUN_SCHEMA.names).write.mode("append").json(path)

@@ -616,4 +616,52 @@ SELECT run_id, 'segment', '{s.upper()}', CAST({s} AS DOUBLE),
             for s in "fop"
         ),
     ),
+    "reviews_new_only": _sql(
+        [_REVIEWS.replace("FROM lineitem", ", l_returnflag AS flag FROM lineitem")],
+        """
+SELECT listing_id, reviewer_id, date FROM reviews WHERE flag IN ('N', 'R')
+EXCEPT
+SELECT listing_id, reviewer_id, date FROM reviews WHERE flag IN ('A', 'R')""",
+    ),
+    "value_by_levels": _of_customers("""
+SELECT CAST(grouping_id(segment, favourite_neighbourhood, r_name) AS INTEGER) AS level,
+       segment, favourite_neighbourhood AS area, r_name AS region, count(*) AS customers,
+       CAST(sum(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM customers
+LEFT JOIN orders ON o_orderkey = reviewer_id
+LEFT JOIN customer ON c_custkey = o_custkey
+LEFT JOIN nation ON n_nationkey = c_nationkey
+LEFT JOIN region ON r_regionkey = n_regionkey
+GROUP BY CUBE (segment, favourite_neighbourhood, r_name)"""),
+    "guests_by_year": _sql(
+        _TO_DATED,
+        """
+SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS reviews,
+       count(DISTINCT reviewer_id) AS guests, true AS estimate_close
+FROM dated WHERE date IS NOT NULL GROUP BY ALL""",
+    ),
+    "run_deviations": _sql(
+        [
+            *_TO_RUNS,
+            """
+measured AS (
+  SELECT run_id, timestamp, status <> 'FAILED' AS fine,
+         CAST(total_duration_seconds AS DOUBLE) AS seconds,
+         CAST(rows_filtered AS DOUBLE) / input_total * 100.0 AS pct
+  FROM runs),
+usual AS (
+  SELECT *,
+         quantile_cont(CASE WHEN fine THEN seconds END, 0.5) OVER before AS usual_seconds,
+         quantile_cont(CASE WHEN fine THEN pct END, 0.5) OVER before AS usual_pct
+  FROM measured
+  WINDOW before AS (ORDER BY timestamp, run_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))""",
+        ],
+        """
+SELECT run_id, round(seconds, 4) AS seconds, round(usual_seconds, 4) AS usual_seconds,
+       round(pct, 4) AS filtered_pct, round(usual_pct, 4) AS usual_filtered_pct,
+       coalesce(seconds / usual_seconds > 1.01 OR pct - usual_pct > 0.1, false) AS deviates
+FROM usual""",
+    ),
 }
+# Deliveries in any order and number leave what all reviews at once give.
+ORACLE_SQL["rfm_after_delivery"] = ORACLE_SQL["rfm_segments"]

@@ -18,12 +18,15 @@ from stayvalue.operators import (
     campaign,
     cleaning,
     customers,
+    distinct,
+    history,
     layout,
     quality,
     rfm,
     runs,
     segments,
 )
+from stayvalue.plans import deliveries
 from stayvalue.plans.customer_value import Settings, customer_table, stays_table
 from stayvalue.sources import csv_files, parquet_tables, writers
 
@@ -149,6 +152,20 @@ def balanced_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.balance_partitions(_reviews(spark, sf_dir))
 
 
+def _flagged_reviews(spark: SparkSession, sf_dir: str, *flags: str) -> DataFrame:
+    """The reviews of line items with one of these return flags."""
+    lines = parquet_tables.table(spark, sf_dir, "lineitem")
+    return parquet_tables.reviews_from_lineitem(lines.filter(F.col("l_returnflag").isin(*flags)))
+
+
+@_query
+def reviews_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery without what the history already has: returned items are in both."""
+    delivery = cleaning.review_keys(_flagged_reviews(spark, sf_dir, "N", "R"))
+    earlier = cleaning.review_keys(_flagged_reviews(spark, sf_dir, "A", "R"))
+    return history.new_only(delivery, earlier)
+
+
 @_query
 def stays_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _date_text(_stays(spark, sf_dir), "date")
@@ -203,6 +220,44 @@ _customer_query("segment_plan", campaign.segment_plan)
 _customer_query("campaign_projection", campaign.campaign_projection)
 
 
+@_query
+def rfm_after_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers after deliveries that overlap, one of them made twice and all put together between."""
+    listings = _listings(spark, sf_dir)
+    store = deliveries.Deliveries(spark, writers.scratch_path(spark, "deliveries"), SETTINGS)
+    for name, flags in (("first", "AR"), ("second", "RN"), ("again", "AN"), ("first", "ARN")):
+        store.deliver(name, _flagged_reviews(spark, sf_dir, *flags), listings)
+        if name == "second":
+            store.compact("both")
+    return store.customers()
+
+
+@_query
+def value_by_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.value_by_levels(
+        _customers(spark, sf_dir), parquet_tables.guest_regions(spark, sf_dir)
+    )
+
+
+@_query
+def guests_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviewers per year from daily sketches, beside the exact count they have to be close to."""
+    reviews = cleaning.normalise_dates(_reviews(spark, sf_dir))
+    daily = distinct.period_sketches(reviews, F.col("date"), "reviewer_id")
+    daily = writers.write_table(daily, writers.scratch_path(spark, "guest-sketches"))
+    estimated = distinct.estimates(distinct.united(daily, F.year("period")))
+    exact = reviews.groupBy(F.year("date").alias("span")).agg(
+        F.count_distinct("reviewer_id").alias("guests")
+    )
+    off = F.abs(F.col("estimate") - F.col("guests")) / F.col("guests")
+    return exact.join(estimated, "span").select(
+        F.col("span").alias("year"),
+        F.col("row_count").alias("reviews"),
+        "guests",
+        (off <= 4 * distinct.relative_error()).alias("estimate_close"),
+    )
+
+
 @_query
 def segment_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.segment_by_region(
@@ -433,3 +488,8 @@ def run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def run_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_shares(_run_history(spark, sf_dir))
+
+
+@_query
+def run_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_deviations(_run_history(spark, sf_dir), span=3, max_ratio=1.01, max_excess_pct=0.1)

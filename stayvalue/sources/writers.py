@@ -61,3 +61,21 @@ def export_csv(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None
         .option("escape", '"')
         .csv(path)
     )
+
+
+def export_parts(df: DataFrame, path: str, column: str) -> None:
+    """Every row as header CSV in a folder per value of ``column`` (``column=value``).
+
+    Only folders of values that occur in ``df`` are replaced, all others stay as they are: the members
+    of one segment are exported anew by a frame of that segment alone. A value without rows keeps its
+    old folder. Every task writes its own file per value, so a value with most of the rows is written in
+    parallel. An interrupted export leaves the old folders.
+    """
+    (
+        df.write.mode("overwrite")
+        .partitionBy(column)
+        .option("partitionOverwriteMode", "dynamic")
+        .option("header", True)
+        .option("escape", '"')
+        .csv(path)
+    )
