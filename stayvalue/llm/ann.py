@@ -76,8 +76,11 @@ def tile_bounds(queries: np.ndarray, candidates: np.ndarray) -> tuple[np.ndarray
 
 
 def distance(query: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Euclidean distances in double precision."""
-    return np.sqrt(((candidates - query) ** 2).sum(axis=1))
+    """Euclidean distances in double precision, the squares added up in order."""
+    total = np.zeros(len(candidates))
+    for own, theirs in zip(query, candidates.T, strict=True):
+        total += (theirs - own) ** 2
+    return np.sqrt(total)
 
 
 def tile(queries: pd.DataFrame, candidates: pd.DataFrame, k: int = K) -> pd.DataFrame:
@@ -185,3 +188,23 @@ def nearest(
     return wave.groupBy("query_id").applyInPandas(
         ranked, "query_id long, rank int, vec_id long, score double"
     )
+
+
+def oracle_sql(k: int = K, query_step: int = QUERY_STEP) -> str:
+    """The same rows as SQL, for tables without repeated ids and with vectors of one length."""
+    return f"""
+with good as (
+    select vec_id, embedding::DOUBLE[] as v from embeddings
+    where vec_id is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+        and len(list_filter(embedding, lambda c: c <> 0)) > 0),
+pairs as (
+    select q.vec_id as query_id, c.vec_id,
+        sqrt(list_reduce(
+            list_transform(list_zip(q.v, c.v), lambda z: (z[2] - z[1]) * (z[2] - z[1])),
+            lambda a, b: a + b)) as score
+    from good q join good c on q.vec_id % {query_step} = 0 and c.vec_id <> q.vec_id),
+ranked as (
+    select *, row_number() over (partition by query_id order by score, vec_id) as rank from pairs)
+select query_id, rank::INTEGER as rank, vec_id, score from ranked where rank <= {k}
+"""

@@ -41,6 +41,8 @@ LAYOUTS = (
     <p>{t}</p></div><div><p>{s} {a}</p></div></body>""",
     """<body y="1"><h1>{s}</h1><p>{t}</p><p>{t}</p><ul y="0" class="nav"><li>{a}</li><li>{a}</li></ul></body>""",
     """<h1 y="1">{s}</h1><p y="1">{t}</p><p y="1">{t}</p>""",
+    """<h1 y="1">{s}</h1>{t}<br>{t}<ul y="1"><li>{s}</li></ul>{t}""",
+    """{t}<p y="1">{t}</p>{s}. {t}<div y="0" class="ad">{t}</div>{s}""",
     """<body y="0"><article y="1"><h1>{s}</h1><p>{t}</p><aside y="0">{t}</aside><div y="0" class="notice">{t}</div>
     <form y="0"><div>{s}</div><p>{t}</p></form><p>{t}</p><nav y="0">{a} {a}</nav></article><aside>{t}</aside>
     <section class="comments"><article><p>{t}</p><p>{s}</p></article></section><header>{t}</header>

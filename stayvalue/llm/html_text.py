@@ -7,7 +7,7 @@ messages, first upward and then downward, give the exact marginal of each node,
 the nodes that are more likely content than not is the main text.
 
 The model is counted from labelled pages: a bounded sample of the corpus whose semantic markup
-labels itself (``TRAIN_PAGES``), and a few hand-labelled layouts for designs it may lack.
+labels itself (``TRAIN_PAGES``), and a few hand-labelled layouts, of less weight, for designs it may lack.
 """
 
 from __future__ import annotations
@@ -30,7 +30,9 @@ from stayvalue.llm.html_pages import labelled_pages
 TRAIN_PAGES = 2000
 SMOOTHING = 0.5
 #: Labelled nodes that the built-in layouts and the corpus sample weigh as much as.
-TRAIN_WEIGHTS = (4000.0, 1000.0)
+TRAIN_WEIGHTS = (20000.0, 30000.0)
+#: The node of what stands at top level although the page opens no body.
+IMPLIED = "#body"
 #: Nodes that the more general chance weighs as much as in the chance of one tag or pair of tags.
 SHRINKAGE = 0.1
 
@@ -61,7 +63,8 @@ REJECTED_TAGS = frozenset(("nav", "aside", "footer", "form"))
 REJECTED_WORDS = frozenset("ad ads advert comment comments share social related promo".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>""")
-_ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role|y)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""")
+# One attribute after the other, so that nothing inside a quoted value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?+""")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _CLOSE = {name: re.compile(rf"(?i)</{name}\s*>") for name in SKIPPED}
@@ -84,15 +87,17 @@ def _signs(attributes: str) -> tuple[frozenset, str | None]:
         value = value.strip("\"'")
         if name.lower() == "y":
             label = value
-        else:
+        elif name.lower() in ("class", "id", "role"):
             words.update(_WORD.findall(_CAMEL.sub(" ", value).lower()))
     return frozenset(words), label
 
 
-def parse(page: str) -> list[Node]:
+def parse(page: str, labelled: bool = False) -> list[Node]:
     """The block elements in page order, parents before children; node 0 is the page itself.
 
-    Markup may be broken: unclosed elements end with their parent, stray end tags are ignored.
+    Markup may be broken: unclosed elements end with their parent, stray end tags are ignored. What
+    stands at top level outside ``html`` and ``body`` gets an ``IMPLIED`` parent. The label attribute of
+    the built-in layouts is read only if the page is ``labelled`` so.
     """
     nodes = [Node("#page", -1)]
     stack = [0]
@@ -100,11 +105,17 @@ def parse(page: str) -> list[Node]:
     links = 0  # open links
     place = 0
 
+    def imply_body() -> None:
+        if len(stack) == 1:
+            nodes.append(Node(IMPLIED, 0))
+            stack.append(len(nodes) - 1)
+
     def flush() -> None:
         nonlocal place
         if text:
             run = " ".join("".join(t for t, _ in text).split())
             if run:
+                imply_body()
                 node = nodes[stack[-1]]
                 node.parts.append((place, run))
                 place += 1
@@ -175,7 +186,15 @@ def parse(page: str) -> list[Node]:
             close(CLOSED_BY_BLOCK, ())
             if name in CLOSES:
                 close(*CLOSES[name])
+            if name in ("html", "body"):
+                # The real ones are no part of an implied one.
+                if nodes[stack[-1]].tag == IMPLIED:
+                    stack.pop()
+            elif name != "head":
+                imply_body()
             words, label = _signs(match[3]) if match[3] else (frozenset(), None)
+            if not labelled:
+                label = None
             nodes.append(Node(name, stack[-1], words, label))
             stack.append(len(nodes) - 1)
     flush()
@@ -205,7 +224,9 @@ def labels(nodes: list[Node]) -> list[int] | None:
     out: list[int] = []
     for node in nodes:
         above = out[node.parent] if node.parent >= 0 else 0
-        if explicit:
+        if explicit and node.tag == IMPLIED:
+            out.append(1)  # a labelled fragment is one of an article
+        elif explicit:
             out.append(above if node.label is None else int(node.label == "1"))
         elif node.tag in REJECTED_TAGS or node.words & REJECTED_WORDS:
             out.append(0)
@@ -331,8 +352,8 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
 def main_text(page: str | None, model: Model) -> str:
     """The content blocks of a page, in page order; a page without any element is one block."""
     nodes = parse(page or "")
-    if len(nodes) == 1:
-        return "\n\n".join(run for _, run in nodes[0].parts)
+    if all(node.tag == IMPLIED for node in nodes[1:]):
+        return "\n\n".join(run for node in nodes for _, run in node.parts)
     runs = [
         part
         for node, odds in zip(nodes, marginals(nodes, model), strict=True)
@@ -384,7 +405,7 @@ def train(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> Model:
             corpus[row["kind"], row["name"], row["above"], row["label"]] = row["n"]
     built_in: Counter = Counter()
     for page in labelled_pages():
-        nodes = parse(page)
+        nodes = parse(page, labelled=True)
         built_in += count_page(nodes, labels(nodes))
     return fit([built_in, corpus])
 

@@ -121,6 +121,10 @@ def words_of(text: str) -> Iterator[Words]:
         yield Words(np.stack(columns, axis=1), starts, scripts, lengths)
 
 
+#: Languages a model has at most; each takes half a megabyte in every task.
+MAX_LANGUAGES = 500
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -130,9 +134,15 @@ class Model:
 
 
 def train(docs: DataFrame, penalty: float = SWITCH_PENALTY) -> Model:
-    """Count all documents with a language; ``docs`` has ``text`` and ``lang``."""
+    """Count all documents with a language; ``docs`` has ``text`` and ``lang``.
+
+    More than ``MAX_LANGUAGES`` names are an error: every task holds a table per language.
+    """
     known = docs.filter("text is not null and lang is not null")
-    languages = sorted(row[0] for row in known.select("lang").distinct().collect())
+    names = known.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(names) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages; is the column clean?")
+    languages = sorted(row[0] for row in names)
     place = {language: i for i, language in enumerate(languages)}
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

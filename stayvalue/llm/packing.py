@@ -46,9 +46,7 @@ RUN_SCHEMA = T.StructType(
 
 def word_count(text: Column) -> Column:
     """Tokens of a text: its words. Give ``tokens=`` a column where real token counts exist."""
-    trimmed = F.regexp_replace(
-        F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""
-    )
+    trimmed = F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, r"[\x20\x09-\x0D]+")))
 
 
@@ -187,7 +185,11 @@ def pack(
     largest = max(lengths)
     # Stored, as the counts are read twice and may cost a pass over the texts.
     slim = store(
-        docs.select(F.col(identity).alias("id"), F.col(tokens).cast("long").alias("tokens")),
+        docs.select(
+            F.col(identity).alias("id"),
+            F.col(tokens).cast("long").alias("tokens"),
+            F.monotonically_increasing_id().alias("place"),
+        ),
         "pack-tokens",
     )
     pieces = pieces_of(slim, "tokens", largest)
@@ -204,8 +206,10 @@ def pack(
     sharded = store(
         pieces.drop("tokens")
         .join(F.broadcast(split), "piece_length")
-        .withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.col("shards")))
-        .drop("shards"),
+        # Rows without an id are spread by their place in the stored table.
+        .withColumn("spread", F.when(F.col("id").isNull(), F.col("place")))
+        .withColumn("shard", F.pmod(F.xxhash64("id", "piece", "spread"), F.col("shards")))
+        .drop("shards", "place", "spread"),
         "pieces",
     )
     sizes = sharded.groupBy("piece_length", "shard").agg(F.count("*").alias("n"))

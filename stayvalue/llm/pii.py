@@ -3,9 +3,10 @@
 The patterns find protected entities: mail addresses, IP addresses, payment cards, phone numbers.
 A term near an entity can disclose it although the entity itself is masked. How strongly is
 estimated from the whole corpus: with p(e) the share of all words that lie near entity e, and
-p(e|t) the share of term t's occurrences that do, the disclosure of e by t is
-log(p(e|t) / p(e)) / -log p(e): 0 for unrelated, 1 if t occurs near e alone. Terms above one threshold are
-generalised, above a higher one removed. Every pair is scored, also of an entity written once:
+p(e|t) the share of term t's occurrences that do, someone who reads t needs -log2 p(e|t) more bits to
+name e, of the -log2 p(e) without it. A term that leaves few bits, and fewer than there were, is
+generalised; one that leaves hardly any is removed. The limits are in bits that are left, so they mean
+the same in a corpus of any size. Every pair is scored, also of an entity written once:
 p(e|t) is the lower confidence bound for what was counted, and equal contexts count once, so that
 copies of one document are no evidence. A term that discloses an entity is treated wherever it
 stands in the corpus, also where no entity is written.
@@ -17,7 +18,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import pyarrow as pa
 import xxhash
@@ -32,8 +33,10 @@ KINDS = ("email", "ip", "card", "phone", "term")
 NEAR = 6
 #: Standard errors of the lower bound for p(e|t); with one, n hits of n count as n / (n + 1).
 CONFIDENCE = 1.0
-GENERALISE_AT = 0.9
-REMOVE_AT = 0.97
+#: Bits left at most for a term to be generalised, and to be removed; and bits it has to spare.
+GENERALISE_BITS = 2.0
+REMOVE_BITS = 0.5
+LEAST_GAIN_BITS = 1.0
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -43,8 +46,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W_]+")
-#: Bits of the filter for disclosing terms that every task gets (2 MB), and words a task remembers.
-FILTER_BITS = 1 << 24
+#: Bits of the filter for disclosing terms per term, at least and at most (32 MB for every task); more
+#: terms than that serves are looked for part by part. Words a task remembers.
+BITS_PER_TERM = 16
+LEAST_FILTER_BITS, FILTER_BITS = 1 << 20, 1 << 28
 REMEMBERED = 1 << 18
 SEED = 42
 
@@ -108,6 +113,11 @@ def _terms_before(text: str, end: int) -> list[tuple[str, int, int]]:
         reach *= 4
 
 
+def _terms_after(text: str, start: int) -> list[tuple[str, int, int]]:
+    """The first ``NEAR`` terms behind a place, however far."""
+    return [(m.group(), *m.span()) for m in islice(_TERM.finditer(text, start), NEAR)]
+
+
 def _touches(spans: list[Span]) -> Callable[[int, int], bool]:
     """Whether a range has characters in common with one of the spans."""
     starts = [start for _, start, _ in spans]
@@ -125,11 +135,7 @@ def contexts(text: str, spans: list[Span]) -> list[dict]:
     out = []
     inside = _touches(spans)
     for kind, start, end in spans:
-        near = _terms_before(text, start)
-        for match in _TERM.finditer(text, end):
-            near.append((match.group(), *match.span()))
-            if len(near) >= 2 * NEAR or match.start() > end + 64 * NEAR:
-                break
+        near = _terms_before(text, start) + _terms_after(text, end)
         terms = [
             {"term": t.lower(), "start": a, "end": b} for t, a, b in near if not inside(a, b)
         ]
@@ -225,7 +231,7 @@ def lower_bound(hits: Column, trials: Column) -> Column:
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) for the terms at or above the lower threshold.
+    """(entity, term, bits_left) for the terms to be generalised or removed.
 
     Counts cover the whole corpus: occurrences near each entity come from ``found``, all
     occurrences of the terms in question from the texts.
@@ -236,55 +242,65 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("together"), F.count_distinct("context").alias("contexts")),
         "pii-pairs",
     )
-    entities = near.groupBy("entity").agg(F.count("*").alias("near_words"))
     wanted = store(pairs.select("term").distinct(), "pii-terms")
     total = found.agg(F.sum("n_words")).first()[0] or 0
     if total == 0 or wanted.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("disclosure")).limit(0)
+        return pairs.select("entity", "term", F.lit(0.0).alias("bits_left")).limit(0)
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("term"))
     # Counted before the join, so that common terms do not pass it once per occurrence.
     everywhere = words.groupBy("term").agg(F.count("*").alias("all")).join(wanted, "term")
     # Occurrences in equal contexts near the entity are one trial, those elsewhere one each.
     trials = F.col("contexts") + F.greatest(F.lit(0), F.col("all") - F.col("together"))
     share = lower_bound(F.col("contexts").cast("double"), trials.cast("double"))
-    prior = F.least(F.lit(1.0), F.col("near_words") / F.lit(float(total)))
-    disclosure = F.try_divide(F.log(share / prior), -F.log(prior))
-    return (
+    telling = (
         pairs.join(everywhere, "term")
-        .join(entities, "entity")
-        .select("entity", "term", disclosure.alias("disclosure"))
-        .filter(F.col("disclosure") >= GENERALISE_AT)
+        .select("entity", "term", (-F.log2(share)).alias("bits_left"))
+        .filter(F.col("bits_left") <= GENERALISE_BITS)
     )
+    # Of each entity only the terms that tell much are joined with its size.
+    entities = pairs.groupBy("entity").agg(F.sum("together").alias("near_words"))
+    without = -F.log2(F.least(F.lit(1.0), F.col("near_words") / F.lit(float(total))))
+    return (
+        telling.join(entities, "entity")
+        .filter(without - F.col("bits_left") >= LEAST_GAIN_BITS)
+        .select("entity", "term", "bits_left")
+    )
+
+
+def _part(term: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(parts), term), F.lit(parts))
 
 
-def term_filter(terms: DataFrame) -> bytes:
+def term_filter(terms: DataFrame, bits: int) -> bytes:
     """A bit for each hash of a term: other terms than these are recognised without a join."""
-    place = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
+    place = F.pmod(F.xxhash64("term"), F.lit(bits))
     # A bitmap of the function has 4096 bytes.
     rows = (
         terms.groupBy(F.floor(place / F.lit(32768)).alias("bitmap"))
         .agg(F.bitmap_construct_agg(F.pmod(place, F.lit(32768))).alias("bits"))
         .collect()
     )
-    out = bytearray(FILTER_BITS // 8)
+    out = bytearray(bits // 8)
     for row in rows:
         out[row.bitmap * 4096 : (row.bitmap + 1) * 4096] = row.bits
     return bytes(out)
 
 
 def _in_filter(bits: bytes, term: str) -> bool:
-    place = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), SEED) % FILTER_BITS
+    place = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), SEED) % (8 * len(bits))
     return bool(bits[place // 8] >> place % 8 & 1)
 
 
 def occurrences(docs: DataFrame, bits: bytes) -> DataFrame:
     """(doc_id, text_hash, term, start, end) of all terms that pass the filter, outside entities."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
     schema = T.StructType(
         [docs.schema["doc_id"], *T.StructType.fromDDL("text_hash long, term string, start int, end int").fields]
     )
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, bool] = {}
+        bits = shared.value
 
         def passes(word: str) -> bool:
             found = known.get(word)
@@ -327,18 +343,26 @@ def occurrences(docs: DataFrame, bits: bytes) -> DataFrame:
 def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Per document key the spans of disclosing terms, wherever they stand.
 
-    ``disclosure`` is the largest that the term has for any entity.
+    ``bits_left`` are the fewest that the term leaves for any entity. The texts are read once for every
+    part of the terms that one filter serves.
     """
     terms = store(
-        disclosing_terms(docs, found).groupBy("term").agg(F.max("disclosure").alias("disclosure")),
+        disclosing_terms(docs, found).groupBy("term").agg(F.min("bits_left").alias("bits_left")),
         "pii-disclosing",
     )
-    hits = occurrences(docs, term_filter(terms)).join(terms, "term")
+    wanted = max(LEAST_FILTER_BITS, BITS_PER_TERM * terms.count())
+    parts = -(-wanted // FILTER_BITS)
+    bits = min(FILTER_BITS, 1 << (wanted - 1).bit_length())
+    hits = None
+    for part in range(parts):
+        chosen = terms if parts == 1 else terms.filter(_part(F.col("term"), parts) == part)
+        found_here = occurrences(docs, term_filter(chosen, bits)).join(chosen, "term")
+        hits = found_here if hits is None else hits.unionAll(found_here)
     return (
         hits.groupBy("doc_id", "text_hash", "start", "end")
-        .agg(F.max("disclosure").alias("disclosure"))
+        .agg(F.min("bits_left").alias("bits_left"))
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("start", "end", "disclosure")).alias("term_spans"))
+        .agg(F.collect_list(F.struct("start", "end", "bits_left")).alias("term_spans"))
     )
 
 
@@ -377,9 +401,9 @@ def report(docs: DataFrame) -> DataFrame:
 def masked(text: str, terms: list[tuple[int, int, float]]) -> str:
     """The text with entities masked and disclosing terms generalised or removed."""
     spans = [(a, b, f"[{kind.upper()}]") for kind, a, b in base_spans(text)]
-    for a, b, disclosure in terms:
+    for a, b, bits_left in terms:
         generic = "[NUMBER]" if text[a:b].isdigit() else "[WORD]"
-        spans.append((a, b, "" if disclosure >= REMOVE_AT else generic))
+        spans.append((a, b, "" if bits_left <= REMOVE_BITS else generic))
     out, end = [], 0
     for a, b, mask in sorted(spans):
         if a >= end:
@@ -413,7 +437,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
             texts = [
                 None
                 if text is None
-                else masked(text, [(t["start"], t["end"], t["disclosure"]) for t in terms or []])
+                else masked(text, [(t["start"], t["end"], t["bits_left"]) for t in terms or []])
                 for text, terms in zip(
                     batch.column(place).to_pylist(), batch.column(len(schema)).to_pylist(),
                     strict=True,

@@ -110,7 +110,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     good = store(trusted_ids(labels), "trusted").withColumn("trusted", F.lit(True))
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
-    flagged = docs.join(good, "doc_id", "left").select(
+    flagged = docs.select("doc_id", "text").join(good, "doc_id", "left").select(
         utf8("text").alias("bytes"), F.coalesce("trusted", F.lit(False)).alias("trusted")
     )
     counted = flagged.mapInArrow(_count_task, "bucket int, raw long, target long")

@@ -153,6 +153,7 @@ from sums left join firsts using (payload_digest)
 ORACLE_SQL: dict[str, str] = {
     "op5_mixture": mixing.oracle_sql(),
     "op6_warc": OP6_SQL,
+    "op9_nearest": ann.oracle_sql(),
     "op13_source_divergence": divergence.oracle_sql(),
 }
 if corpus_pipeline.ORACLE_SQL:

@@ -26,6 +26,8 @@ DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"WARC/1."
 END = b"\r\n\r\n"
+#: Bytes of a file's stretches in which loose records look for their segments.
+CELL = 1 << 24
 #: Bytes that a task gathers before it hands on a batch.
 BATCH_BYTES = 4 << 20
 
@@ -251,10 +253,23 @@ def reachable(candidates: DataFrame) -> DataFrame:
 def _spanning(spark: SparkSession, path: str, loose: DataFrame, blocks: DataFrame) -> DataFrame:
     """(text, payload) of records that are not one segment: pieces of the segments they cover."""
     end = F.col("payload_start") + F.col("payload_length")
+
+    def cells(first: Column, stop: Column) -> Column:
+        """The stretches of ``CELL`` bytes that a range has a part in."""
+        last = F.greatest(first, stop - 1)
+        return F.explode(F.sequence(F.floor(first / CELL), F.floor(last / CELL)))
+
+    # Records and segments meet in the stretches of their file, not each with all of the file.
+    wanted = loose.select(
+        "file", "offset", "payload_start", "payload_length", cells(F.col("payload_start"), end).alias("cell")
+    )
+    block_end = F.col("base") + F.col("block_length")
+    held = blocks.select("file", "start", "base", "block_length", cells(F.col("base"), block_end).alias("cell"))
     needs = store(
-        loose.select("file", "offset", "payload_start", "payload_length")
-        .join(blocks.select("file", "start", "base", "block_length"), "file")
-        .filter((F.col("base") < end) & (F.col("base") + F.col("block_length") > F.col("payload_start"))),
+        wanted.join(held, ["file", "cell"])
+        .filter((F.col("base") < end) & (block_end > F.col("payload_start")))
+        .drop("cell")
+        .distinct(),
         "warc-needs",
     )
     data = F.coalesce("raw", F.concat("header", "payload", F.lit(END)))
@@ -290,7 +305,10 @@ def _value(name: str) -> Column:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives in a folder: header fields and payload, one row per record.
+    """All records of the plain archives in a folder: header fields and payload, a row per record.
+
+    Compressed archives (``.warc.gz``) are not read: their records begin at no place that a split could
+    look for. Unpack them first.
 
     Columns: record_type, record_id, target_uri, refers_to, payload_digest, payload_length (of the
     full payload, where the writer told it), payload (binary). Raises ``ValueError`` if a file's

@@ -1,4 +1,6 @@
 import math
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pytest
@@ -16,9 +18,11 @@ def plain(rows, k, step):
     ]
     out = []
     for q in sorted({i for i, _ in usable if i % step == 0}):
-        x = min((list(v) for i, v in usable if i == q), key=lambda v: (len(v), v))
+        x = min((v.tolist() for i, v in usable if i == q), key=lambda v: (len(v), v))
         near = sorted(
-            (float(np.sqrt(((v - x) ** 2).sum())), i) for i, v in usable if i != q and len(v) == len(x)
+            (math.sqrt(reduce(add, ((a - b) * (a - b) for a, b in zip(v.tolist(), x)))), i)
+            for i, v in usable
+            if i != q and len(v) == len(x)
         )[:k]
         out += [(q, n, i, d) for n, (d, i) in enumerate(near, 1)]
     return out

@@ -35,7 +35,7 @@ def test_pages_of_the_table(spark, read, model):
 
 def test_labelled_layouts(model):
     for page in labelled_pages():
-        nodes = html_text.parse(page)
+        nodes = html_text.parse(page, labelled=True)
         found = [odds > 0 for odds in html_text.marginals(nodes, model)]
         truth = html_text.labels(nodes)
         assert all(f == bool(t) for n, f, t in zip(nodes, found, truth) if n.parts)
@@ -93,3 +93,47 @@ def test_odd_rows(spark, model):
     assert html_text.extract(pages.limit(0), model).collect() == []
     alone = html_text.train(pages.limit(0))
     assert html_text.main_text(f"<article><p>{TEXT}</p></article>", alone) == TEXT
+
+
+def test_held_out_pages(read):
+    """Trained on one half of the marked pages, judged by the text blocks of the other half."""
+    pages = read("pages")
+    model = html_text.train(pages.filter("page_id % 2 = 0"))
+    right = total = 0
+    for row in pages.filter("page_id % 2 = 1").collect():
+        nodes = html_text.parse(row.html)
+        truth = html_text.labels(nodes)
+        if truth is None:
+            continue
+        for node, label, odds in zip(nodes, truth, html_text.marginals(nodes, model)):
+            if node.parts:
+                total += 1
+                right += bool(label) == (odds > 0)
+    assert total > 400 and right / total > 0.98
+
+
+def test_corpus_outweighs_the_layouts():
+    assert html_text.TRAIN_WEIGHTS[1] > html_text.TRAIN_WEIGHTS[0]
+
+
+@pytest.mark.parametrize("attributes", ['data-y="0"', 'href="/s?x=1&y=2"', "title='a y=0 class=ad'", "y=0", "y"])
+def test_only_layouts_carry_labels(attributes):
+    nodes = html_text.parse(f"<article {attributes}><p>{TEXT}</p></article>")
+    assert all(node.label is None for node in nodes)
+    assert not any(node.words for node in nodes)
+    assert html_text.labels(nodes)[-1] == 1
+
+
+def test_attributes():
+    nodes = html_text.parse("<div CLASS = 'one twoThree' data-id=\"x\" id=four disabled role=\"five\"/>text</div>")
+    assert nodes[2].words == {"one", "two", "three", "four", "five"}
+
+
+def test_fragments_keep_their_loose_text(model):
+    assert html_text.main_text(f"{TEXT}<p>{TEXT}</p>{TEXT}", model) == "\n\n".join([TEXT] * 3)
+    assert html_text.main_text(f"<h1>T</h1>{TEXT}<br>{TEXT}", model) == f"T\n\n{TEXT} {TEXT}"
+    assert html_text.main_text(f"Intro. {TEXT}<div class='ad'>{TEXT}</div><p>{TEXT}</p>tail.", model) == (
+        f"Intro. {TEXT}\n\n{TEXT}\n\ntail."
+    )
+    nodes = html_text.parse(f"<html><body><p>{TEXT}</p></body></html>")
+    assert all(node.tag != html_text.IMPLIED for node in nodes)

@@ -41,7 +41,7 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, sf_dir, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         connection.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
     result = connection.execute(ORACLE_SQL[name])
     names = [d[0] for d in result.description]
