@@ -7,8 +7,9 @@ no piece are spelled in bytes.
 
 No merge can cross a place where the two characters beside it do not follow one another in any
 piece, so a text is cut there and the agenda run on each stretch; stretches repeat, so their ids
-are remembered, up to a bounded number. Longer stretches are worked off by the same agenda and not
-remembered.
+are remembered, up to a bounded number. The short stretches that are new in a batch are worked off
+together: their agendas lie side by side in one array, and each round merges the best pair of every
+stretch. Longer ones have a heap each.
 
 Texts are neither cut nor shuffled: one pass of Arrow batches, a bounded number of bytes at a time.
 In the same pass the sentencepiece library encodes and decodes the same texts, and ``agrees`` tells
@@ -22,9 +23,11 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from heapq import heappop, heappush
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -37,11 +40,12 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGE_TYPE = 2
 REPLACEMENT = "�"
 
-#: Up to this many characters the agenda is a list, beyond it a heap; the order is the same.
-LISTED_CHARS = 32
-#: Stretches up to this many characters are remembered, at most so many of them per task.
-REMEMBERED_CHARS = 64
-REMEMBERED = 1 << 18
+#: Stretches up to this many characters are worked off together, longer ones by a heap; the order in
+#: which pairs are merged is the same.
+SIDE_BY_SIDE_CHARS = 48
+#: Stretches of that length that a task remembers, about, and that it works off at a time.
+REMEMBERED = 1 << 19
+TOGETHER = 1 << 15
 #: Bytes of text that are encoded and checked at a time; only memory depends on it.
 SLICE = 1 << 20
 
@@ -144,48 +148,164 @@ class Encoder:
             elif piece == "</s>":
                 self.end = i
             self.bytes_of.append(plain)
-        # Characters of no longer piece stand alone. Of the others, a run of space symbols begins a
-        # stretch, unless some piece has one behind another character.
-        rest = re.escape("".join(sorted(linked - {SPACE})))
+        self.pattern = self._pattern(linked, crossing)
+        self._number_pairs()
+        self._begin()
+
+    def _pattern(self, linked: set[str], crossing: bool) -> str:
+        """A pattern of the stretches that no merge can leave.
+
+        Characters of no longer piece stand alone. Of the others, a run of space symbols begins a
+        stretch, and letters end one, unless some piece has a space symbol behind another character,
+        or anything but a letter behind a letter.
+        """
+        rest = linked - {SPACE}
+        signs = {c for c in rest if not c.isalpha()}
+        follows = any(
+            a.isalpha() and not b.isalpha() for piece in self.ids for a, b in zip(piece, piece[1:], strict=False)
+        )
+
+        def any_of(characters: set[str]) -> str:
+            # Of nothing, no character at all.
+            return f"[{re.escape(''.join(sorted(characters)))}]" if characters else "(?:(?!))"
+
         if crossing:
-            pattern = f"[{rest}{SPACE}]+|." if rest else "."
-        else:
-            pattern = f"{SPACE}+[{rest}]*|[{rest}]+|." if rest else f"{SPACE}+|."
-        self.stretches = re.compile(pattern, re.DOTALL)
-        self.known: dict[str, list[int]] = {}
+            return f"{any_of(linked)}++|."
+        if follows:
+            return f"{SPACE}++{any_of(rest)}*+|{any_of(rest)}++|."
+        first, last = any_of(signs), any_of(rest - signs)
+        return f"{SPACE}++{first}*+{last}*+|{first}++{last}*+|{last}++|."
+
+    def _begin(self) -> None:
+        self.stretches = re.compile(self.pattern, re.DOTALL)
+        #: Ids of stretches, as the bytes of 32-bit integers.
+        self.known: dict[str, bytes] = {}
+
+    def state(self) -> dict:
+        """All but what is remembered, as plain values that travel without this module."""
+        kept = {k: v for k, v in vars(self).items() if k not in ("stretches", "known")}
+        return kept | {"vocabulary": astuple(self.vocabulary)}
+
+    @classmethod
+    def restored(cls, state: dict) -> Encoder:
+        encoder = cls.__new__(cls)
+        vars(encoder).update(state, vocabulary=Vocabulary(*state["vocabulary"]))
+        encoder._begin()
+        return encoder
+
+    def _number_pairs(self) -> None:
+        """Symbols as numbers, and sorted keys of all pairs that make up a piece."""
+        size = len(self.vocabulary.pieces)
+        # A character without a piece has a number beyond the pieces.
+        self.symbol_of = np.arange(size, size + 0x110000, dtype=np.int64)
+        for piece, number in self.ids.items():
+            if len(piece) == 1:
+                self.symbol_of[ord(piece)] = number
+
+        def symbol(part: str) -> int | None:
+            return int(self.symbol_of[ord(part)]) if len(part) == 1 else self.ids.get(part)
+
+        self.base = size + 0x110000
+        pairs = {}
+        for piece, number in self.ids.items():
+            for cut in range(1, len(piece)):
+                left, right = symbol(piece[:cut]), symbol(piece[cut:])
+                if left is not None and right is not None:
+                    pairs[left * self.base + right] = (self.costs[piece], number)
+        self.pair_keys = np.array(sorted(pairs) or [-1], dtype=np.int64)
+        values = [pairs.get(int(key), (np.inf, 0)) for key in self.pair_keys]
+        self.pair_costs = np.array([cost for cost, _ in values])
+        self.pair_pieces = np.array([number for _, number in values], dtype=np.int64)
+
+    def _price(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cost of merging pairs of symbols (infinite if they make up no piece), and the piece."""
+        keys = left * self.base + right
+        places = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[places] == keys, self.pair_costs[places], np.inf), self.pair_pieces[places]
+
+    def side_by_side(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbol numbers of many stretches, none of them empty, in a row, and where each one ends.
+
+        Each round is a merge in every stretch.
+        """
+        text = np.frombuffer("".join(stretches).encode("utf-32-le"), dtype=np.uint32)
+        symbols = self.symbol_of[text]
+        lengths = np.array([len(stretch) for stretch in stretches], dtype=np.int64)
+        starts = np.cumsum(lengths) - lengths
+        size = len(symbols)
+        before = np.arange(-1, size - 1)
+        after = np.arange(1, size + 1)
+        before[starts] = -1
+        after[starts + lengths - 1] = -1
+        costs, pieces = np.full(size, np.inf), np.zeros(size, dtype=np.int64)
+        paired = np.flatnonzero(after >= 0)
+        costs[paired], pieces[paired] = self._price(symbols[paired], symbols[paired + 1])
+        places, row_of, begins = np.arange(size), np.repeat(np.arange(len(stretches)), lengths), starts
+        while len(places):
+            agenda = costs[places]
+            best = np.minimum.reduceat(agenda, begins)
+            live = best < np.inf
+            if not live.all():
+                # Stretches whose agenda is empty are done.
+                kept = live[row_of]
+                places, agenda, best = places[kept], agenda[kept], best[live]
+                row_of = (np.cumsum(live) - 1)[row_of[kept]]
+                begins = np.flatnonzero(np.diff(row_of, prepend=-1))
+                if not len(places):
+                    break
+            equal = np.flatnonzero(agenda == best[row_of])
+            first = np.diff(row_of[equal], prepend=-1) > 0  # the first of equals
+            left = places[equal[first]]
+            right = after[left]
+            symbols[left], symbols[right] = pieces[left], -1
+            costs[left] = costs[right] = np.inf
+            after[left] = after[right]
+            following = left[after[left] >= 0]
+            before[after[following]] = following
+            preceding = before[left]
+            for ones in (following, preceding[preceding >= 0]):
+                costs[ones], pieces[ones] = self._price(symbols[ones], symbols[after[ones]])
+        left_over = symbols >= 0
+        ends = np.cumsum(np.add.reduceat(left_over, starts, dtype=np.int64))
+        return symbols[left_over], ends
+
+    def learn(self, stretches: Iterable[str]) -> None:
+        """Remember the ids of stretches."""
+        short = []
+        for stretch in stretches:
+            if len(stretch) <= SIDE_BY_SIDE_CHARS:
+                short.append(stretch)
+            else:
+                self.known[stretch] = np.array(self.merge(stretch), dtype=np.int32).tobytes()
+        pieces = len(self.vocabulary.pieces)
+        for at in range(0, len(short), TOGETHER):
+            part = short[at : at + TOGETHER]
+            numbers, ends = self.side_by_side(part)
+            begins = np.concatenate(([0], ends[:-1]))
+            plain = numbers.astype(np.int32).tobytes()
+            self.known.update(
+                (stretch, plain[4 * a : 4 * b])
+                for stretch, a, b in zip(part, begins.tolist(), ends.tolist(), strict=True)
+            )
+            for row in np.flatnonzero(np.maximum.reduceat(numbers, begins) >= pieces).tolist():
+                ids: list[int] = []
+                for number in numbers[begins[row] : ends[row]].tolist():
+                    ids += [number] if number < pieces else self._spelled_ids(chr(number - pieces))
+                self.known[part[row]] = np.array(ids, dtype=np.int32).tobytes()
+
+    def _spelled_ids(self, character: str) -> list[int]:
+        if self.vocabulary.byte_fallback:
+            return [self.byte_ids[byte] for byte in character.encode()]
+        return [self.unknown]
 
     def merge(self, text: str) -> list[int]:
         """Ids of one stretch."""
         found: list[int] = []
-        for symbol in self.listed(text) if len(text) <= LISTED_CHARS else self.heaped(text):
+        for symbol in self.heaped(text):
             number = self.ids.get(symbol)
-            if number is not None:
-                found.append(number)
-            elif self.vocabulary.byte_fallback:
-                found += [self.byte_ids[byte] for byte in symbol.encode()]
-            else:
-                found.append(self.unknown)
+            found += self._spelled_ids(symbol) if number is None else [number]
         return found
 
-    def listed(self, text: str) -> list[str]:
-        """The symbols of a short stretch: the agenda is a list with a place for every pair."""
-        cost, never = self.costs.get, float("inf")
-        symbols = list(text)
-        agenda = [cost(a + b, never) for a, b in zip(symbols, symbols[1:], strict=False)]
-        while agenda:
-            best = min(agenda)
-            if best == never:
-                break
-            at = agenda.index(best)  # the first of equals
-            joined = symbols[at] + symbols.pop(at + 1)
-            symbols[at] = joined
-            del agenda[at]
-            if at < len(agenda):
-                agenda[at] = cost(joined + symbols[at + 1], never)
-            if at:
-                agenda[at - 1] = cost(symbols[at - 1] + joined, never)
-        return symbols
-
     def heaped(self, text: str) -> list[str]:
         """The symbols of a stretch of any length: the agenda is a heap, its chain is linked."""
         cost = self.costs.get
@@ -218,31 +338,31 @@ class Encoder:
                 meet(before[left], left)
         return [symbol for symbol in symbols if symbol is not None]
 
-    def encode(self, text: str) -> list[int]:
-        """All ids of a text, the end id last."""
-        found: list[int] = []
-        if text:
-            marked = text.replace(" ", SPACE)
-            known = self.known
-            for stretch in self.stretches.findall(
-                SPACE + marked if self.vocabulary.dummy_prefix else marked
-            ):
-                ids = known.get(stretch)
-                if ids is None:
-                    ids = self.merge(stretch)
-                    if len(stretch) <= REMEMBERED_CHARS:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[stretch] = ids
-                found += ids
-            if not self.vocabulary.byte_fallback:
-                # Characters without a piece that stand together are one unknown.
-                found = [
-                    i for n, i in enumerate(found)
-                    if i != self.unknown or not n or found[n - 1] != self.unknown
-                ]
-        found.append(self.end)
-        return found
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """All ids of each text, the end id last."""
+        prefix = SPACE if self.vocabulary.dummy_prefix else ""
+        cut = [
+            self.stretches.findall(prefix + text.replace(" ", SPACE)) if text else [] for text in texts
+        ]
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = set(chain.from_iterable(cut)).difference(known)
+        self.learn(new)
+        end = np.array([self.end], dtype=np.int32).tobytes()
+        encoded = [
+            np.frombuffer(b"".join([*map(known.__getitem__, part), end]), dtype=np.int32) for part in cut
+        ]
+        for stretch in new:
+            if len(stretch) > SIDE_BY_SIDE_CHARS:
+                del known[stretch]
+        if not self.vocabulary.byte_fallback:
+            # Characters without a piece that stand together are one unknown.
+            unknown = [ids == self.unknown for ids in encoded]
+            encoded = [
+                ids[~(u & np.concatenate(([False], u[:-1])))] for ids, u in zip(encoded, unknown, strict=True)
+            ]
+        return encoded
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that make up no character become U+FFFD, each."""
@@ -307,6 +427,15 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
+def _shared(df: DataFrame, model_path: str):
+    """The file and the encoder's tables, some 10 MB, sent to every worker once."""
+    with open(model_path, "rb") as file:
+        model = file.read()
+    # An unsuitable file fails here, not in the tasks.
+    state = Encoder(Vocabulary.parse(model)).state()
+    return df.sparkSession.sparkContext.broadcast((model, state))
+
+
 def encode(docs: DataFrame, model_path: str, *, with_ids: bool = True, check: bool = True) -> DataFrame:
     """``doc_id``, ``ids`` (array<int>, the end id last), ``decoded``, ``n_tokens``, both digests
     and ``agrees`` of every document.
@@ -319,9 +448,7 @@ def encode(docs: DataFrame, model_path: str, *, with_ids: bool = True, check: bo
     empty table gives an empty result. Texts may be of any length, and hold any characters: blanks,
     control characters and U+2581 itself (which decodes to a blank, as in the library) included.
     """
-    with open(model_path, "rb") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    Vocabulary.parse(shared.value)  # an unsuitable file fails here, not in the tasks
+    shared = _shared(docs, model_path)
     fields = [docs.schema["doc_id"], T.StructField("n_tokens", T.LongType())]
     fields += [T.StructField(n, T.StringType()) for n in ("ids_sha256", "decoded_sha256")]
     fields += [T.StructField("agrees", T.BooleanType())]
@@ -333,22 +460,25 @@ def encode(docs: DataFrame, model_path: str, *, with_ids: bool = True, check: bo
     names = [field.name for field in fields]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        encoder = Encoder(Vocabulary.parse(model))
+        model, state = shared.value
+        encoder = Encoder.restored(state)
         library = sentencepiece.SentencePieceProcessor(model_proto=model) if check else None
         digits = [str(i) for i in range(len(encoder.vocabulary.pieces))]
         for batch in batches:
             at = 0
             for texts in _slices(batch.column(1).to_pylist()):
-                encoded = [encoder.encode(text) for text in texts]
+                arrays = encoder.encode(texts)
+                encoded = [ids.tolist() for ids in arrays]
                 decoded = [encoder.decode(ids) for ids in encoded]
                 same: list[bool | None] = [None] * len(texts)
                 if library is not None:
-                    theirs = library.encode(texts, add_bos=False, add_eos=True, num_threads=1)
+                    theirs = library.encode(
+                        texts, add_bos=False, add_eos=True, num_threads=1, return_type="numpy"
+                    )
                     back = library.decode(theirs, num_threads=1)
                     same = [
-                        a == b and c == d
-                        for a, b, c, d in zip(encoded, theirs, decoded, back, strict=True)
+                        np.array_equal(a, b) and c == d
+                        for a, b, c, d in zip(arrays, theirs, decoded, back, strict=True)
                     ]
                 id_sums = [
                     hashlib.sha256(" ".join(map(digits.__getitem__, ids)).encode()).hexdigest()
@@ -375,14 +505,13 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
     A column of that name is replaced. An id that the vocabulary does not have fails the job.
     """
-    with open(model_path, "rb") as file:
-        shared = encoded.sparkSession.sparkContext.broadcast(file.read())
+    shared = _shared(encoded, model_path)
     rest = encoded.drop("decoded")
     schema = T.StructType([*rest.schema.fields, T.StructField("decoded", T.StringType())])
     place = rest.columns.index("ids")
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary.parse(shared.value))
+        encoder = Encoder.restored(shared.value[1])
         for batch in batches:
             texts = [encoder.decode(ids or []) for ids in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays(

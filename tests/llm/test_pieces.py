@@ -28,7 +28,7 @@ def encoder():
 
 def test_odd_texts(encoder, library):
     for text in ODD:
-        ids = encoder.encode(text)
+        ids = encoder.encode([text])[0].tolist()
         assert ids == library.encode(text, add_eos=True), text
         assert encoder.decode(ids) == library.decode(ids)
 
@@ -36,11 +36,12 @@ def test_odd_texts(encoder, library):
 def test_random_texts(encoder, library):
     chance = random.Random(11)
     letters = "abc  ▁é日本\n\t\x00😀ñtheing01　​�."
-    for _ in range(5000):
-        text = "".join(chance.choice(letters) for _ in range(chance.randint(0, 40)))
-        ids = encoder.encode(text)
-        assert ids == library.encode(text, add_eos=True), text
-        assert encoder.decode(ids) == library.decode(ids)
+    texts = ["".join(chance.choices(letters, k=chance.randint(0, 60))) for _ in range(6000)]
+    for at in range(0, len(texts), 700):
+        part = texts[at : at + 700]
+        encoded = [ids.tolist() for ids in encoder.encode(part)]
+        assert encoded == library.encode(part, add_eos=True)
+        assert [encoder.decode(ids) for ids in encoded] == library.decode(encoded)
 
 
 def test_any_ids_decode_as_in_the_library(encoder, library):
@@ -55,17 +56,24 @@ def test_any_ids_decode_as_in_the_library(encoder, library):
 
 def test_both_agendas_give_the_same_symbols(encoder):
     chance = random.Random(13)
-    for _ in range(2000):
-        text = "".join(chance.choice("▁▁ttheinagaaab") for _ in range(chance.randint(0, 60)))
-        assert encoder.listed(text) == encoder.heaped(text)
+    texts = ["".join(chance.choices("▁▁ttheinagaaab日", k=chance.randint(1, 60))) for _ in range(2000)]
+    pieces_of = encoder.vocabulary.pieces
+    numbers, ends = encoder.side_by_side(texts)
+    for text, begin, end in zip(texts, [0, *ends], ends):
+        names = [
+            pieces_of[n] if n < len(pieces_of) else chr(n - len(pieces_of)) for n in numbers[begin:end]
+        ]
+        assert names == encoder.heaped(text)
 
 
 def test_memory_of_stretches_is_bounded(encoder, library, monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    monkeypatch.setattr(pieces, "TOGETHER", 2)
     encoder.known.clear()
-    text = "one two three four five six one two"
-    assert encoder.encode(text) == library.encode(text, add_eos=True)
-    assert len(encoder.known) <= 3
+    text = "one two three four five six one two " + "x" * 100
+    for _ in range(3):
+        assert encoder.encode([text])[0].tolist() == library.encode(text, add_eos=True)
+        assert len(encoder.known) <= 7  # of the last slice
 
 
 def test_other_vocabularies_are_refused(spark, documents, tmp_path):
