@@ -136,6 +136,39 @@ def rake(
     return _rates(cells, factors).drop(*[f"f{i}" for i in range(len(factors))])
 
 
+def margins(raked: DataFrame, targets: list[DataFrame], share: float = SAMPLE_SHARE) -> DataFrame:
+    """How well raking has met the targets: a row per dimension and value, the worst first.
+
+    ``dimension`` (its place), ``value`` (the key), ``wanted``, ``reached`` and ``available`` tokens,
+    ``reachable`` (whether there are as many as wanted) and ``error``, by which part the tokens reached
+    miss what is wanted, or available if that is less. Ask for more ``rounds`` while errors are large.
+    """
+    total = F.lit(raked.agg(F.sum("cell_tokens").cast("double")).first()[0] or 0.0)
+    parts = []
+    for i, target in enumerate(targets):
+        held = raked.groupBy(f"k{i}").agg(
+            F.sum(F.col("cell_tokens") * F.col("rate")).alias("reached"),
+            F.sum("cell_tokens").cast("double").alias("available"),
+        )
+        wanted = F.col("share") * F.lit(share) * total
+        parts.append(
+            target.join(held, f"k{i}", "left").select(
+                F.lit(i).alias("dimension"),
+                F.col(f"k{i}").alias("value"),
+                wanted.alias("wanted"),
+                F.coalesce("reached", F.lit(0.0)).alias("reached"),
+                F.coalesce("available", F.lit(0.0)).alias("available"),
+            )
+        )
+    goal = F.least("wanted", "available")
+    return (
+        reduce(DataFrame.unionAll, parts)
+        .withColumn("reachable", F.col("available") >= F.col("wanted"))
+        .withColumn("error", F.coalesce(F.try_divide(F.abs(F.col("reached") - goal), goal), F.lit(0.0)))
+        .orderBy(F.desc("error"), "dimension", "value")
+    )
+
+
 def uniform(identity: Column, seed: str = SEED) -> Column:
     """A number in [0, 1) from the MD5 of id and seed: the same for every layout and retry."""
     digest = F.md5(F.concat_ws("|", F.coalesce(identity.cast("string"), F.lit("")), F.lit(seed)))
