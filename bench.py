@@ -16,7 +16,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayvalue.plans import run
+from stayvalue.plans import queries, run
 from stayvalue.plans.queries import QUERIES, SETTINGS
 from stayvalue.sources import parquet_tables, write_table
 
@@ -35,6 +35,8 @@ HEADLINE = (
     "value_spread",
     "rfm_quintiles",
     "segment_by_region",
+    "value_by_levels",
+    "reviews_new_only",
     "area_pricing",
     "priority_customers",
     "high_value_customers",
@@ -74,6 +76,11 @@ def land(spark: SparkSession, sf_dir: str, out: str) -> None:
         project = getattr(parquet_tables, name)
         landed = write_table(project(spark, sf_dir), f"{out}/{name}", mode="overwrite", balance=True)
         setattr(parquet_tables, name, lambda *_, landed=landed: landed)
+    # The audit's input holds some reviews twice; it is projected before timing as well.
+    again = write_table(
+        queries._redelivered_reviews(spark, sf_dir), f"{out}/redelivered", mode="overwrite", balance=True
+    )
+    queries._redelivered_reviews = lambda *_: again
 
 
 def whole_run(spark: SparkSession, sf_dir: str, out: str) -> None:
