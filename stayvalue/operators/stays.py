@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,25 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_BYTES = 1 << 30
 
 
-def estimated_size(df: DataFrame) -> int:
-    """Catalyst's size estimate in bytes for the optimised plan of ``df``."""
+def stored_size(df: DataFrame) -> int | None:
+    """Bytes of all files that ``df`` reads, by any kind of session; None if it reads none.
+
+    Their contents are not opened: only names and lengths are listed.
+    """
+    files = [unquote(name) for name in df.inputFiles()]
+    if not files:
+        return None
+    listed = df.sparkSession.read.format("binaryFile").load(files)
+    return listed.agg(F.sum("length")).first()[0]
+
+
+def estimated_size(df: DataFrame) -> int | None:
+    """Catalyst's size estimate in bytes for the optimised plan of ``df``.
+
+    On Spark Connect, which has no plan statistics, :func:`stored_size`.
+    """
+    if not hasattr(df, "_jdf"):
+        return stored_size(df)
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
@@ -19,12 +38,13 @@ def broadcast_within(df: DataFrame, max_bytes: int) -> DataFrame:
     """Hint a broadcast only if the estimated size is within ``max_bytes``.
 
     The estimate counts compressed file bytes before any filter; the relation in memory may take
-    several times as much. Spark itself fails beyond 8 GB, so no limit over 1 GB is accepted. Needs
-    a classic session: plan statistics do not exist on Spark Connect.
+    several times as much. Spark itself fails beyond 8 GB, so no limit over 1 GB is accepted. Without
+    an estimate there is no hint.
     """
     if max_bytes > MAX_BROADCAST_BYTES:
         raise ValueError(f"a broadcast limit of {max_bytes} bytes is too large")
-    return F.broadcast(df) if estimated_size(df) <= max_bytes else df
+    size = estimated_size(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df
 
 
 def join_stays(

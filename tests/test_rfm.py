@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stayvalue.operators import stays as stays_module
 from stayvalue.operators.rfm import favourite_area, rfm_metrics
 from stayvalue.operators.stays import estimated_size, join_stays
 
@@ -82,6 +83,23 @@ def test_broadcast_only_within_the_checked_size(spark, conf):
         plan(1 << 33)
 
 
+def test_stored_size(spark, tmp_path, monkeypatch):
+    path = tmp_path / "a b"
+    spark.range(1000).selectExpr("cast(id as string) as listing_id", "5.0d as price_cleaned").write.parquet(str(path))
+    written = spark.read.parquet(str(path))
+    size = sum(p.stat().st_size for p in path.glob("*.parquet"))
+    assert stays_module.stored_size(written.filter("price_cleaned > 1")) == size
+    assert stays_module.stored_size(spark.range(3)) is None
+    # Where there are no plan statistics, the files' size decides, and nothing if there are no files.
+    monkeypatch.setattr(stays_module, "estimated_size", stays_module.stored_size)
+    hint = "ResolvedHint"
+    plans = [
+        stays_module.broadcast_within(df, limit)._jdf.queryExecution().analyzed().toString()
+        for df, limit in ((written, size), (written, size - 1), (spark.range(3), size))
+    ]
+    assert [hint in plan for plan in plans] == [True, False, False]
+
+
 def brute_force(rows, reference, nights):
     groups = collections.defaultdict(list)
     for _, reviewer, date, price, area in rows:
