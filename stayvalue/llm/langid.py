@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayvalue.llm.shared import Tally, free_name
+from stayvalue.llm.shared import Tally, free_name, in_parts
 
 BUCKETS = 1 << 16
 ORDERS = (2, 3)
@@ -147,7 +147,7 @@ def train(docs: DataFrame, penalty: float = SWITCH_PENALTY) -> Model:
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(len(place), BUCKETS + N_SCRIPTS)
-        for batch in batches:
+        for batch in in_parts(batches, 0):
             for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for words in words_of(text):
                     tally.add(place[lang], words.buckets.ravel())
@@ -258,7 +258,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     span_type = pa.list_(pa.struct([("words", pa.int64()), ("lang", pa.string())]))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, 1):
             found = [predict(text, model) for text in batch.column(1).to_pylist()]
             spans = [[{"words": n, "lang": lang} for n, lang in row[2]] for row in found]
             yield pa.RecordBatch.from_arrays(
@@ -277,9 +277,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents, unchanged, whose language is known and labels enough of their letters."""
     lowered = free_name("lowered", docs.columns)
+    last = len(docs.columns)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, last):
             found = [predict(text, model) for text in batch.column(lowered).to_pylist()]
             good = [lang != UNKNOWN and score >= min_score for lang, score, _ in found]
             yield batch.drop_columns([lowered]).filter(pa.array(good, pa.bool_()))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayvalue.llm.shared import free_name, store
+from stayvalue.llm.shared import free_name, in_parts, store
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on either side of an entity that count as near.
@@ -181,7 +181,7 @@ def find(docs: DataFrame) -> DataFrame:
     none = hashlib.sha256(b"").hexdigest()
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, 2):
             texts = [text or "" for text in batch.column(2).to_pylist()]
             found = [base_spans(text) for text in texts]
             near = [contexts(t, s) if s else [] for t, s in zip(texts, found, strict=True)]
@@ -310,7 +310,7 @@ def occurrences(docs: DataFrame, bits: bytes) -> DataFrame:
                 found = known[word] = _in_filter(bits, word.lower())
             return found
 
-        for batch in batches:
+        for batch in in_parts(batches, 2):
             rows, words, starts, ends = [], [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
                 wanted = {word for word in set(_TERM.findall(text or "")) if passes(word)}
@@ -433,7 +433,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     schema = docs.schema
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, place):
             texts = [
                 None
                 if text is None

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +27,25 @@ def utf8(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
 
 
+def in_parts(
+    batches: Iterable[pa.RecordBatch], text: int, size: int = 1 << 22
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of a text column, a longer text alone.
+
+    A task then holds that much as Python objects at a time, however large Spark's batches are. Batches
+    without rows are left out.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def free_name(wanted: str, taken: list[str]) -> str:
     """A column name that none of the given ones clashes with (names compare without case)."""
     used = {name.lower() for name in taken}

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayvalue.llm.graph import components
-from stayvalue.llm.shared import free_name, store, utf8
+from stayvalue.llm.shared import free_name, in_parts, store, utf8
 
 SHINGLE = 4
 SEED = 42
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, 2):
             found = [fingerprint(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.int64())],
