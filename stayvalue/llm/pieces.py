@@ -7,7 +7,8 @@ no piece are spelled in bytes.
 
 No merge can cross a place where the two characters beside it do not follow one another in any
 piece, so a text is cut there and the agenda run on each stretch; stretches repeat, so their ids
-are remembered, up to a bounded number. The short stretches that are new in a batch are worked off
+are remembered, up to a bounded number: every stretch has a number, and the ids of many texts are
+taken by these numbers from one array. The short stretches that are new in a batch are worked off
 together: their agendas lie side by side in one array, and each round merges the best pair of every
 stretch. Longer ones have a heap each.
 
@@ -22,10 +23,10 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import astuple, dataclass
 from heapq import heappop, heappush
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,11 @@ REPLACEMENT = "�"
 SIDE_BY_SIDE_CHARS = 48
 #: Stretches of that length that a task remembers, about, and that it works off at a time.
 REMEMBERED = 1 << 19
-TOGETHER = 1 << 15
+TOGETHER = 1 << 13
 #: Bytes of text that are encoded and checked at a time; only memory depends on it.
 SLICE = 1 << 20
+#: Odd factor of the hash of pairs, 2^64 over the golden ratio.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _fields(buffer: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -117,6 +120,20 @@ class Vocabulary:
         )
 
 
+class _Numbers(dict):
+    """Numbers of stretches. One that is new gets the next number and is noted in ``new``."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+        self.next = 0
+
+    def __missing__(self, stretch: str) -> int:
+        self[stretch] = number = self.next
+        self.next += 1
+        self.new.append(stretch)
+        return number
+
+
 class Encoder:
     """Text to ids by the agenda, and ids to text."""
 
@@ -129,7 +146,7 @@ class Encoder:
         self.unknown = 0
         self.end = -1
         kinds, linked, crossing = vocabulary.kinds, set(), False
-        self.bytes_of: list[bytes] = []
+        bytes_of: list[bytes] = []
         for i, (piece, kind) in enumerate(zip(vocabulary.pieces, kinds, strict=True)):
             plain = b""
             if kind == NORMAL:
@@ -147,7 +164,13 @@ class Encoder:
                 plain = vocabulary.unknown_text.encode()
             elif piece == "</s>":
                 self.end = i
-            self.bytes_of.append(plain)
+            bytes_of.append(plain)
+        self.bytes_of = np.array(bytes_of, dtype=object)
+        #: Ids without bytes.
+        self.silent = np.array([not plain for plain in bytes_of])
+        size = len(kinds)
+        #: Ids as decimals with a blank behind, filled up with zero bytes.
+        self.decimals = np.array([f"{i} " for i in range(size)], dtype=f"S{len(str(size)) + 1}")
         self.pattern = self._pattern(linked, crossing)
         self._number_pairs()
         self._begin()
@@ -178,12 +201,19 @@ class Encoder:
 
     def _begin(self) -> None:
         self.stretches = re.compile(self.pattern, re.DOTALL)
-        #: Ids of stretches, as the bytes of 32-bit integers.
-        self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = _Numbers()
+        #: The ids of all remembered stretches, and by number where those of each begin and how many.
+        self.pool = np.zeros(0, dtype=np.int32)
+        self.begins = np.zeros(0, dtype=np.int64)
+        self.sizes = np.zeros(0, dtype=np.int64)
 
     def state(self) -> dict:
         """All but what is remembered, as plain values that travel without this module."""
-        kept = {k: v for k, v in vars(self).items() if k not in ("stretches", "known")}
+        remembered = ("stretches", "known", "pool", "begins", "sizes")
+        kept = {k: v for k, v in vars(self).items() if k not in remembered}
         return kept | {"vocabulary": astuple(self.vocabulary)}
 
     @classmethod
@@ -194,7 +224,10 @@ class Encoder:
         return encoder
 
     def _number_pairs(self) -> None:
-        """Symbols as numbers, and sorted keys of all pairs that make up a piece."""
+        """Symbols as numbers, and a hash table of all pairs that make up a piece.
+
+        A pair lies in the slot of its hash or, if that is taken, in the next free one.
+        """
         size = len(self.vocabulary.pieces)
         # A character without a piece has a number beyond the pieces.
         self.symbol_of = np.arange(size, size + 0x110000, dtype=np.int64)
@@ -212,16 +245,37 @@ class Encoder:
                 left, right = symbol(piece[:cut]), symbol(piece[cut:])
                 if left is not None and right is not None:
                     pairs[left * self.base + right] = (self.costs[piece], number)
-        self.pair_keys = np.array(sorted(pairs) or [-1], dtype=np.int64)
-        values = [pairs.get(int(key), (np.inf, 0)) for key in self.pair_keys]
-        self.pair_costs = np.array([cost for cost, _ in values])
-        self.pair_pieces = np.array([number for _, number in values], dtype=np.int64)
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        keys = np.fromiter(pairs, dtype=np.int64, count=len(pairs))
+        # The last slot stays free, so every search ends.
+        slots: dict[int, int] = {}
+        for key, slot in zip(keys.tolist(), self._slots(keys).tolist(), strict=True):
+            while slot in slots:
+                slot += 1
+            slots[slot] = key
+        self.pair_keys = np.full(max([*slots, 1 << bits]) + 2, -1, dtype=np.int64)
+        self.pair_costs = np.full(len(self.pair_keys), np.inf)
+        self.pair_pieces = np.zeros(len(self.pair_keys), dtype=np.int64)
+        for slot, key in slots.items():
+            self.pair_keys[slot] = key
+            self.pair_costs[slot], self.pair_pieces[slot] = pairs[key]
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
 
     def _price(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cost of merging pairs of symbols (infinite if they make up no piece), and the piece."""
         keys = left * self.base + right
-        places = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[places] == keys, self.pair_costs[places], np.inf), self.pair_pieces[places]
+        slots = self._slots(keys)
+        held = self.pair_keys[slots]
+        others = np.flatnonzero((held != keys) & (held >= 0))
+        while len(others):
+            slots[others] += 1
+            held = self.pair_keys[slots[others]]
+            others = others[(held != keys[others]) & (held >= 0)]
+        # A search that has found nothing ends in a free slot, which has an infinite cost.
+        return self.pair_costs[slots], self.pair_pieces[slots]
 
     def side_by_side(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbol numbers of many stretches, none of them empty, in a row, and where each one ends.
@@ -269,29 +323,44 @@ class Encoder:
         ends = np.cumsum(np.add.reduceat(left_over, starts, dtype=np.int64))
         return symbols[left_over], ends
 
-    def learn(self, stretches: Iterable[str]) -> None:
-        """Remember the ids of stretches."""
+    def learn(self, stretches: list[str]) -> None:
+        """Remember the ids of stretches, whose numbers follow those so far. Nothing is the end id."""
+        begins = np.zeros(len(stretches), dtype=np.int64)
+        sizes = np.zeros(len(stretches), dtype=np.int64)
+        parts, used = [self.pool], len(self.pool)
         short = []
-        for stretch in stretches:
-            if len(stretch) <= SIDE_BY_SIDE_CHARS:
-                short.append(stretch)
-            else:
-                self.known[stretch] = np.array(self.merge(stretch), dtype=np.int32).tobytes()
-        pieces = len(self.vocabulary.pieces)
+        for n, stretch in enumerate(stretches):
+            if 0 < len(stretch) <= SIDE_BY_SIDE_CHARS:
+                short.append(n)
+                continue
+            ids = np.array(self.merge(stretch) if stretch else [self.end], dtype=np.int32)
+            begins[n], sizes[n] = used, len(ids)
+            parts.append(ids)
+            used += len(ids)
         for at in range(0, len(short), TOGETHER):
-            part = short[at : at + TOGETHER]
-            numbers, ends = self.side_by_side(part)
-            begins = np.concatenate(([0], ends[:-1]))
-            plain = numbers.astype(np.int32).tobytes()
-            self.known.update(
-                (stretch, plain[4 * a : 4 * b])
-                for stretch, a, b in zip(part, begins.tolist(), ends.tolist(), strict=True)
-            )
-            for row in np.flatnonzero(np.maximum.reduceat(numbers, begins) >= pieces).tolist():
-                ids: list[int] = []
-                for number in numbers[begins[row] : ends[row]].tolist():
-                    ids += [number] if number < pieces else self._spelled_ids(chr(number - pieces))
-                self.known[part[row]] = np.array(ids, dtype=np.int32).tobytes()
+            rows = short[at : at + TOGETHER]
+            ids, ends = self._spelled_out(*self.side_by_side([stretches[n] for n in rows]))
+            counts = np.diff(ends, prepend=0)
+            begins[rows], sizes[rows] = used + ends - counts, counts
+            parts.append(ids)
+            used += len(ids)
+        self.pool = np.concatenate(parts)
+        self.begins = np.concatenate([self.begins, begins])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
+    def _spelled_out(self, numbers: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of symbol numbers, and where each stretch ends: characters without a piece are spelled."""
+        pieces = len(self.vocabulary.pieces)
+        rare = np.flatnonzero(numbers >= pieces)
+        if not len(rare):
+            return numbers.astype(np.int32), ends
+        spelled = [self._spelled_ids(chr(number - pieces)) for number in numbers[rare].tolist()]
+        counts = np.ones(len(numbers), dtype=np.int64)
+        counts[rare] = [len(ids) for ids in spelled]
+        behind = np.cumsum(counts)
+        ids = np.repeat(numbers, counts)
+        ids[ids >= pieces] = list(chain.from_iterable(spelled))
+        return ids.astype(np.int32), behind[ends - 1]
 
     def _spelled_ids(self, character: str) -> list[int]:
         if self.vocabulary.byte_fallback:
@@ -341,21 +410,26 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """All ids of each text, the end id last."""
         prefix = SPACE if self.vocabulary.dummy_prefix else ""
-        cut = [
-            self.stretches.findall(prefix + text.replace(" ", SPACE)) if text else [] for text in texts
-        ]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = set(chain.from_iterable(cut)).difference(known)
+        if self.known.next > REMEMBERED or len(self.pool) > 16 * REMEMBERED:
+            self._forget()
+        known, findall = self.known, self.stretches.findall
+        cut = [findall(prefix + text.replace(" ", SPACE)) if text else [] for text in texts]
+        for part in cut:
+            part.append("")  # the end
+        ends = np.cumsum([len(part) for part in cut])
+        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, ends[-1] if cut else 0)
+        new, known.new = known.new, []
         self.learn(new)
-        end = np.array([self.end], dtype=np.int32).tobytes()
-        encoded = [
-            np.frombuffer(b"".join([*map(known.__getitem__, part), end]), dtype=np.int32) for part in cut
-        ]
         for stretch in new:
             if len(stretch) > SIDE_BY_SIDE_CHARS:
                 del known[stretch]
+        sizes = self.sizes[numbers]
+        behind = np.cumsum(sizes)
+        places = np.repeat(self.begins[numbers] - behind + sizes, sizes)
+        places += np.arange(len(places))
+        flat = self.pool[places]
+        borders = [0, *behind[ends - 1].tolist()] if cut else [0]
+        encoded = [flat[a:b] for a, b in pairwise(borders)]
         if not self.vocabulary.byte_fallback:
             # Characters without a piece that stand together are one unknown.
             unknown = [ids == self.unknown for ids in encoded]
@@ -364,11 +438,18 @@ class Encoder:
             ]
         return encoded
 
-    def decode(self, ids: list[int]) -> str:
+    def decimal(self, ids: np.ndarray) -> bytes:
+        """The ids as decimals, joined by one space."""
+        return self.decimals[ids].tobytes().translate(None, b"\0")[:-1]
+
+    def decode(self, ids: Sequence[int] | np.ndarray) -> str:
         """The text of ids; bytes that make up no character become U+FFFD, each."""
+        if not len(ids):
+            return ""
         kinds = self.vocabulary.kinds
-        parts = list(map(self.bytes_of.__getitem__, ids))
-        inner_control = b"" in parts[:-1]
+        ids = np.asarray(ids)
+        parts = self.bytes_of[ids].tolist()
+        inner_control = self.silent[ids[:-1]].any()
         if self.vocabulary.dummy_prefix:
             # The mark that every text begins with goes, if the text begins with a piece.
             for n, i in enumerate(ids):
@@ -384,11 +465,11 @@ class Encoder:
                 pass
         return self._decode_runs(ids, parts)
 
-    def _decode_runs(self, ids: list[int], parts: list[bytes]) -> str:
+    def _decode_runs(self, ids: np.ndarray, parts: list[bytes]) -> str:
         """The text where bytes make up no character, or a control id stands between them."""
         out: list[str] = []
         run = b""
-        for i, part in zip(ids, parts, strict=True):
+        for i, part in zip(ids.tolist(), parts, strict=True):
             if self.vocabulary.kinds[i] == BYTE:
                 run += part
                 continue
@@ -463,12 +544,10 @@ def encode(docs: DataFrame, model_path: str, *, with_ids: bool = True, check: bo
         model, state = shared.value
         encoder = Encoder.restored(state)
         library = sentencepiece.SentencePieceProcessor(model_proto=model) if check else None
-        digits = [str(i) for i in range(len(encoder.vocabulary.pieces))]
         for batch in batches:
             at = 0
             for texts in _slices(batch.column(1).to_pylist()):
-                arrays = encoder.encode(texts)
-                encoded = [ids.tolist() for ids in arrays]
+                encoded = encoder.encode(texts)
                 decoded = [encoder.decode(ids) for ids in encoded]
                 same: list[bool | None] = [None] * len(texts)
                 if library is not None:
@@ -478,12 +557,9 @@ def encode(docs: DataFrame, model_path: str, *, with_ids: bool = True, check: bo
                     back = library.decode(theirs, num_threads=1)
                     same = [
                         np.array_equal(a, b) and c == d
-                        for a, b, c, d in zip(arrays, theirs, decoded, back, strict=True)
+                        for a, b, c, d in zip(encoded, theirs, decoded, back, strict=True)
                     ]
-                id_sums = [
-                    hashlib.sha256(" ".join(map(digits.__getitem__, ids)).encode()).hexdigest()
-                    for ids in encoded
-                ]
+                id_sums = [hashlib.sha256(encoder.decimal(ids)).hexdigest() for ids in encoded]
                 columns = [
                     batch.column(0).slice(at, len(texts)),
                     pa.array([len(ids) for ids in encoded], pa.int64()),

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -76,6 +77,54 @@ def test_memory_of_stretches_is_bounded(encoder, library, monkeypatch):
         assert len(encoder.known) <= 7  # of the last slice
 
 
+def test_every_stretch_is_looked_up_once(encoder, library):
+    class Counted(pieces._Numbers):
+        count = 0
+
+        def __getitem__(self, stretch):
+            self.count += 1
+            return super().__getitem__(stretch)
+
+    encoder._forget()
+    encoder.known = Counted()
+    texts = ["one two one three", "", "two three"]
+    for _ in range(2):
+        assert [ids.tolist() for ids in encoder.encode(texts)] == library.encode(texts, add_eos=True)
+    assert encoder.known.count == 2 * (6 + len(texts))  # the stretches, and the end of each text
+    encoder._forget()
+
+
+def test_long_stretches_are_not_kept(encoder, library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    encoder._forget()
+    for i in range(20):
+        text = chr(97 + i) * 500
+        assert encoder.encode([text])[0].tolist() == library.encode(text, add_eos=True)
+        assert len(encoder.known) <= 3 and len(encoder.pool) <= 4 * 501
+    encoder._forget()
+
+
+def test_pairs_are_found_in_few_steps(encoder):
+    chance = random.Random(14)
+    ids = encoder.ids
+    pairs = {}
+    for piece in ids:
+        for cut in range(1, len(piece)):
+            if piece[:cut] in ids and piece[cut:] in ids:
+                pairs[ids[piece[:cut]], ids[piece[cut:]]] = piece
+    others = {(chance.randrange(32000), chance.randrange(32000)) for _ in range(50_000)} - set(pairs)
+    others.add((32000 + 0x65E5, 32000 + 0x672C))  # characters as if they were without a piece
+    left, right = np.array([*pairs, *others]).T
+    costs, found = encoder._price(left, right)
+    named = [encoder.vocabulary.pieces[n] for n in found[: len(pairs)]]
+    assert named == list(pairs.values())
+    assert costs[: len(pairs)].tolist() == [encoder.costs[piece] for piece in named]
+    assert np.isinf(costs[len(pairs) :]).all()
+    held = np.flatnonzero(encoder.pair_keys >= 0)
+    assert len(held) == len(pairs)
+    assert (held - encoder._slots(encoder.pair_keys[held])).mean() < 1
+
+
 def test_other_vocabularies_are_refused(spark, documents, tmp_path):
     # A trainer message of unigram type (field 3 = 1) behind one piece.
     path = tmp_path / "other.model"
